@@ -18,7 +18,7 @@ APPROXIMATE_R = (0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 SAMPLE_R = 0.2
 PERMUTATION_DIMENSIONS = (3, 4, 5, 6, 7)
 LZ_BINS = (2, 3, 5, 10, 100)
-TILE = 2048
+TILE = 512
 
 
 def _entropy(count: Column, total: Column) -> Column:
@@ -182,7 +182,6 @@ def template_entropies(s: Series, tile: int = TILE) -> DataFrame:
             for row in batch.itertuples(index=False):
                 yield _tile_matches(row, key, tile, radii, fields)
 
-    # few pairs per Arrow batch would be better still; the tile bounds a row
     counts = pairs.select(
         key, F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_std").alias("std"), "x", "y", "z", "ox", "oy", "oz"
     ).mapInPandas(matches, schema)

@@ -132,6 +132,7 @@ def impute(features: DataFrame, keys: list[str]) -> DataFrame:
 
     One aggregate over the whole table gives one row of statistics.
     """
+    features = materialise(features)
     names = [c for c in features.columns if c not in keys]
     inf = float("inf")
 

@@ -15,6 +15,7 @@ from starloom.operators.series import Series
 FFT_COEFFICIENTS = 100
 SEGMENT = 256
 FEW = 8
+LINE_ROWS = 262_144
 
 # The published parameter grids of the calculators.
 WELCH_BINS = (2, 5, 8)
@@ -148,34 +149,42 @@ def long_spectrum(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _four_steps(df: DataFrame, key: str) -> DataFrame:
+    """Transforms of length m1 * m2 per (key, ch); a task holds about ``LINE_ROWS`` values."""
     kind = df.schema[key].dataType.simpleString()
     schema = f"{key} {kind}, n long, m1 long, m2 long, ch string, a long, b long, re double, im double"
 
-    def transform(rows: pd.DataFrame, length: int, at: str) -> np.ndarray:
-        dense = np.zeros(length, dtype=complex)
-        dense[rows[at].to_numpy()] = rows["re"].to_numpy() + 1j * rows["im"].to_numpy()
-        return np.fft.fft(dense)
+    def lines(rows: pd.DataFrame, line: str, place: str, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Transform every line of the group; the line numbers and their spectra."""
+        numbers, index = np.unique(rows[line].to_numpy(), return_inverse=True)
+        dense = np.zeros((len(numbers), length), dtype=complex)
+        dense[index, rows[place].to_numpy()] = rows["re"].to_numpy() + 1j * rows["im"].to_numpy()
+        return numbers, np.fft.fft(dense, axis=1)
 
-    def emit(rows: pd.DataFrame, values: np.ndarray, a, b) -> pd.DataFrame:
+    def emit(rows: pd.DataFrame, a: np.ndarray, b: np.ndarray, values: np.ndarray) -> pd.DataFrame:
         first = rows.iloc[0]
-        return pd.DataFrame({
-            key: first[key], "n": first["n"], "m1": first["m1"], "m2": first["m2"], "ch": first["ch"],
-            "a": a, "b": b, "re": values.real, "im": values.imag,
-        })
+        fixed = {c: first[c] for c in (key, "n", "m1", "m2", "ch")}
+        a, b = np.broadcast_arrays(a, b)
+        return pd.DataFrame(
+            {**fixed, "a": a.ravel(), "b": b.ravel(), "re": values.real.ravel(), "im": values.imag.ravel()}
+        )
+
+    def by_residue(rows: pd.DataFrame) -> pd.DataFrame:
+        m1, m2 = int(rows["m1"].iloc[0]), int(rows["m2"].iloc[0])
+        t2, values = lines(rows, "b", "a", m1)
+        turns = (np.arange(m1)[None, :] * t2[:, None]) % (m1 * m2)
+        return emit(rows, np.arange(m1)[None, :], t2[:, None], values * np.exp(-2j * np.pi * turns / (m1 * m2)))
 
-    def columns(rows: pd.DataFrame) -> pd.DataFrame:
-        m1, m2, t2 = int(rows["m1"].iloc[0]), int(rows["m2"].iloc[0]), int(rows["b"].iloc[0])
-        k1 = np.arange(m1)
-        values = transform(rows, m1, "a") * np.exp(-2j * np.pi * ((k1 * t2) % (m1 * m2)) / (m1 * m2))
-        return emit(rows, values, k1, t2)
+    def by_low_frequency(rows: pd.DataFrame) -> pd.DataFrame:
+        m2 = int(rows["m2"].iloc[0])
+        k1, values = lines(rows, "a", "b", m2)
+        return emit(rows, k1[:, None], np.arange(m2)[None, :], values)
 
-    def lines(rows: pd.DataFrame) -> pd.DataFrame:
-        m2, k1 = int(rows["m2"].iloc[0]), int(rows["a"].iloc[0])
-        return emit(rows, transform(rows, m2, "b"), k1, np.arange(m2))
+    def bundle(line: str, length: str) -> Column:
+        return F.expr(f"{line} div greatest(1L, {LINE_ROWS}L div {length})").alias("g")
 
     split = df.selectExpr(key, "n", "m1", "m2", "ch", "t div m2 as a", "t % m2 as b", "re", "im")
-    once = split.groupBy(key, "ch", "b").applyInPandas(columns, schema)
-    twice = once.groupBy(key, "ch", "a").applyInPandas(lines, schema)
+    once = split.groupBy(key, "ch", bundle("b", "m1")).applyInPandas(by_residue, schema)
+    twice = once.groupBy(key, "ch", bundle("a", "m2")).applyInPandas(by_low_frequency, schema)
     return twice.selectExpr(key, "n", "m1", "m2", "ch", "a + m1 * b as t", "re", "im")
 
 
