@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.names import feature, flux
-from starloom.operators.series import Series
+from starloom.operators.series import Series, even_chunk
 
 HALO = 100
 
@@ -200,13 +200,7 @@ def mass(s: Series) -> DataFrame:
         )
         for q in QUANTILES
     ]
-    n, pos = F.col("_n"), F.col("pos")
-    base, longer = F.expr(f"_n div {CHUNKS}"), n % CHUNKS
-    turn = longer * (base + 1)
-    chunk = F.when(pos < turn, F.floor(pos / (base + 1))).otherwise(
-        longer + F.floor(F.try_divide(pos - turn, base))
-    )
-    s = s.with_columns(_chunk=chunk)
+    s = s.with_columns(_chunk=even_chunk(F.col("pos"), F.col("_n"), CHUNKS))
     for focus in range(CHUNKS):
         inside = F.sum(F.when(F.col("_chunk") == focus, flux() * flux()).otherwise(0.0))
         out.append(

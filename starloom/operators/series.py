@@ -173,6 +173,13 @@ def running_totals(df: DataFrame, keys: list[str], order: list[str], **values: s
     return _offset_sums(ranged, (), tuple(order), {n: F.col(v) for n, v in values.items()}).drop("_part", "_copy")
 
 
+def even_chunk(pos: Column, n: Column, chunks: int) -> Column:
+    """Number of the chunk of a 0-based position; the first ``n % chunks`` are one longer."""
+    base, longer = F.floor(n / chunks), n % chunks
+    turn = longer * (base + 1)
+    return F.when(pos < turn, F.floor(pos / (base + 1))).otherwise(longer + F.floor(F.try_divide(pos - turn, base)))
+
+
 def _own(df: DataFrame) -> DataFrame:
     return df.filter("_own") if "_own" in df.columns else df
 

@@ -1,6 +1,6 @@
 """One query per calculator family over the event series, with SQL twins.
 
-Values are divided by a prime: quotients of two-decimal values would often end
+Values are divided by pi: quotients of two-decimal values would often end
 exactly between two rounded results and make the comparison a coin toss.
 """
 
@@ -24,7 +24,7 @@ def s1(spark: SparkSession, sf_dir: str, block_rows: int | None = None) -> Serie
 
 
 def _scaled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bindings.event_series(spark, sf_dir).filter("flux > 0").withColumn("flux", F.col("flux") / 37)
+    return bindings.event_series(spark, sf_dir).filter("flux > 0").withColumn("flux", F.col("flux") / F.pi())
 
 
 def s2(spark: SparkSession, sf_dir: str) -> Series:
@@ -42,7 +42,7 @@ def _family(name: str, digits: int, source: Callable = s1, drop: tuple[str, ...]
 
 S1 = f"""
 s AS (
-  SELECT id, flux / 37 AS x, row_number() OVER (PARTITION BY id ORDER BY time, event_id) - 1 AS pos,
+  SELECT id, flux / pi() AS x, row_number() OVER (PARTITION BY id ORDER BY time, event_id) - 1 AS pos,
          count(*) OVER (PARTITION BY id) AS n
   FROM ({bindings.S1_SQL}) WHERE flux > 0)"""
 
