@@ -343,5 +343,5 @@ def select_and_save(features: DataFrame, output: str, info_path: str, **options)
     return table.agg(
         F.count_if("selected").alias("n_selected"),
         F.lit(total).alias("n_total"),
-        (F.count_if("selected") / F.lit(total)).alias("ratio"),
+        (F.count_if("selected") / F.lit(total)).alias("selected_ratio"),
     )

@@ -20,10 +20,10 @@ from starloom.plans.compare import r, rounded
 
 
 def s1(spark: SparkSession, sf_dir: str, block_rows: int | None = None) -> Series:
-    return open_series(_scaled_events(spark, sf_dir), ["id"], bindings.S1_ORDER, block_rows).located(HALO)
+    return open_series(scaled_events(spark, sf_dir), ["id"], bindings.S1_ORDER, block_rows).located(HALO)
 
 
-def _scaled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scaled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bindings.event_series(spark, sf_dir).filter("flux > 0").withColumn("flux", F.col("flux") / F.pi())
 
 
@@ -410,7 +410,7 @@ def _corridor_sql(d: int) -> str:
 
 
 def _minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract(open_series(_scaled_events(spark, sf_dir), ["id"], bindings.S1_ORDER), "minimal")
+    found = extract(open_series(scaled_events(spark, sf_dir), ["id"], bindings.S1_ORDER), "minimal")
     return rounded(impute(found, ["id"]), 3)
 
 

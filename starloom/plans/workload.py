@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from starloom.plans import (
+    assess_queries,
+    catalog_queries,
+    cleaning_queries,
+    feature_queries,
+    matrix_queries,
+    selection_queries,
+    stream_queries,
+)
 
-from starloom.plans import assess_queries, catalog_queries, cleaning_queries, feature_queries, selection_queries
-
-_MODULES = (cleaning_queries, feature_queries, selection_queries, catalog_queries, assess_queries)
+_MODULES = (
+    matrix_queries,
+    cleaning_queries,
+    feature_queries,
+    selection_queries,
+    catalog_queries,
+    assess_queries,
+    stream_queries,
+)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
 
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+flagship = matrix_queries.flagship
