@@ -18,7 +18,7 @@ APPROXIMATE_R = (0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 SAMPLE_R = 0.2
 PERMUTATION_DIMENSIONS = (3, 4, 5, 6, 7)
 LZ_BINS = (2, 3, 5, 10, 100)
-TILE = 512
+TILE = 1024
 
 
 def _entropy(count: Column, total: Column) -> Column:
@@ -179,8 +179,9 @@ def template_entropies(s: Series, tile: int = TILE) -> DataFrame:
 
     def matches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield _tile_matches(row, key, tile, radii, fields)
+            for start in range(0, len(batch), 64):
+                part = batch.iloc[start : start + 64]
+                yield pd.concat([_tile_matches(row, key, tile, radii, fields) for row in part.itertuples(index=False)])
 
     counts = pairs.select(
         key, F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_std").alias("std"), "x", "y", "z", "ox", "oy", "oz"
@@ -208,16 +209,14 @@ def template_entropies(s: Series, tile: int = TILE) -> DataFrame:
 
 
 def _tile_matches(row, key: str, tile: int, radii: tuple[float, ...], fields: list[str]) -> pd.DataFrame:
-    as_array = lambda v: np.array([np.nan if e is None else e for e in v], dtype=float)
-    x, y, z = as_array(row.x), as_array(row.y), as_array(row.z)
-    ox, oy, oz = as_array(row.ox), as_array(row.oy), as_array(row.oz)
+    x, y, z, ox, oy, oz = [np.asarray(v, dtype=float) for v in (row.x, row.y, row.z, row.ox, row.oy, row.oz)]
+    # a template cut off by the end of the series has NaN and matches nothing
     near_two = np.maximum(np.abs(x[:, None] - ox[None, :]), np.abs(y[:, None] - oy[None, :]))
-    near_two[np.isnan(near_two)] = np.inf
     near_three = np.maximum(near_two, np.abs(z[:, None] - oz[None, :]))
-    near_three[np.isnan(near_three)] = np.inf
-    found = {}
-    for i, r in enumerate(radii):
-        found[f"a{i}"] = (near_two <= r * row.std).sum(axis=1)
-        found[f"b{i}"] = (near_three <= r * row.std).sum(axis=1)
-    frame = pd.DataFrame({key: row[0], "pos": row.t * tile + np.arange(len(x)), "_n": row.n})
-    return frame.assign(**{f: found[f] for f in fields})
+    limits = [r * row.std for r in radii]
+    counts = [np.count_nonzero(near <= limit, axis=1) for near in (near_two, near_three) for limit in limits]
+    frame = pd.DataFrame(np.column_stack(counts), columns=fields)
+    frame.insert(0, "_n", row.n)
+    frame.insert(0, "pos", row.t * tile + np.arange(len(x)))
+    frame.insert(0, key, row[0])
+    return frame

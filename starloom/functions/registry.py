@@ -6,6 +6,8 @@ A family maps a located ``Series`` to one row per id. Users may register more.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,9 +17,10 @@ from pyspark.sql.types import BooleanType
 from starloom.functions import basic, complexity, dependence, spectral, trend
 from starloom.functions.names import feature
 from starloom.operators.series import Series, open_series
-from starloom.session import materialise
+from starloom.session import materialise, materialise_bucketed
 
 HALO = 200
+FAMILIES_AT_ONCE = 4
 
 FAMILIES: dict[str, Callable[[Series], DataFrame]] = {
     "moments": basic.moments,
@@ -109,22 +112,38 @@ def numeric(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def extract(s: Series, feature_set: str | dict = "comprehensive") -> DataFrame:
     """One row per id with all features of the set.
 
-    The located series is written once; each family is a plan of its own over
-    it, and the results, one row per id, join on the id.
+    The located series are written once, bucketed by id, so no family shuffles
+    them again. Each family is a job of its own, written in the same buckets,
+    and the results join without a shuffle too.
     """
     wanted = FEATURE_SETS[feature_set] if isinstance(feature_set, str) else feature_set
-    located = s.located(HALO)
-    located = Series(
-        materialise(located.cold), located.hot, located.keys, located.order, located.block
-    )
-    parts = []
-    for name, columns in wanted.items():
-        family = FAMILIES.get(name) or _EXTRA[name]
-        found = family(located)
+    spark, keys = s.cold.sparkSession, list(s.keys)
+    buckets = bucket_number(s)
+    located = replace(s, cold=s.cold.repartition(buckets, *keys)).located(HALO)
+    cold, name = materialise_bucketed(located.cold, keys, buckets, [*keys, "pos"])
+    located = replace(located, cold=cold)
+
+    def write(item: tuple[str, list[str] | None]) -> tuple[DataFrame, str]:
+        family_name, columns = item
+        found = (FAMILIES.get(family_name) or _EXTRA[family_name])(located)
         if columns is not None:
-            found = found.select(*s.keys, *columns)
-        parts.append(numeric(found, s.keys))
-    return reduce(lambda a, b: a.join(b, list(s.keys), "left"), parts)
+            found = found.select(*keys, *columns)
+        return materialise_bucketed(numeric(found, s.keys), keys, buckets)
+
+    # independent jobs; while one is planned another one runs
+    with ThreadPoolExecutor(FAMILIES_AT_ONCE) as pool:
+        written = list(pool.map(write, wanted.items()))
+    parts, tables = [part for part, _ in written], [name, *[table for _, table in written]]
+    joined = materialise(reduce(lambda a, b: a.join(b, keys, "left"), parts))
+    for name in tables:
+        spark.sql(f"DROP TABLE {name}")
+    return joined
+
+
+def bucket_number(s: Series) -> int:
+    """About two million rows per bucket, within what Spark allows."""
+    least = int(s.cold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, s.size // 2_000_000), 50_000)
 
 
 def impute(features: DataFrame, keys: list[str]) -> DataFrame:

@@ -40,6 +40,7 @@ class Series:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     block: int
+    size: int  # rows when opened
 
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> Series:
         """Apply a row-wise transformation to both plans."""
@@ -150,11 +151,11 @@ def open_series(
     top = sizes.agg(F.max("_n"), F.sum("_n")).first()
     block = max(wanted, (top[1] or 0) // MAX_HOT)
     if (top[0] or 0) <= block:
-        return Series(df, None, tuple(keys), tuple(order), block)
+        return Series(df, None, tuple(keys), tuple(order), block, top[1] or 0)
     big = materialise(sizes.filter(F.col("_n") > block).select(*keys))
     cold = df.join(F.broadcast(big), keys, "left_anti")
     hot = materialise(df.join(F.broadcast(big), keys, "left_semi"))
-    return Series(cold, hot, tuple(keys), tuple(order), block)
+    return Series(cold, hot, tuple(keys), tuple(order), block, top[1])
 
 
 def global_positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:

@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -60,3 +61,16 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_bucketed(df: DataFrame, keys: list[str], buckets: int, order: list[str] | None = None) -> tuple[DataFrame, str]:
+    """Like ``materialise``, bucketed by key: later steps by key need no shuffle.
+
+    Returns the table and its name in the catalog; drop it when it is no longer
+    read. Files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    name = f"starloom_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*(order or keys))
+    writer.option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name), name
