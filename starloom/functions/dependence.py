@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.basic import Pass
 from starloom.functions.names import feature, flux
 from starloom.functions.tails import normal_cdf
 from starloom.operators.series import Series
@@ -88,21 +87,26 @@ def autocorrelation(s: Series, lags: int = ACF_LAGS, max_lag: int = MAX_LAG) ->
     return acf.select(*s.keys, *out)
 
 
-def lagged_products(s: Series) -> DataFrame:
+PRODUCT_LAGS = (1, 2, 3)
+
+
+def prepare_lagged_products(s: Series) -> Series:
+    steps = sorted({k for l in PRODUCT_LAGS for k in (l, 2 * l)})
+    return s.windowed(lambda w: {f"_lead{k}": F.lead("flux", k).over(w) for k in steps})
+
+
+def lagged_product_columns() -> list[Column]:
     """Third-order statistics of values one and two lags apart."""
-    lags = (1, 2, 3)
-    steps = sorted({k for l in lags for k in (l, 2 * l)})
-    s = s.windowed(lambda w: {f"_l{k}": F.lead("flux", k).over(w) for k in steps})
     out = []
-    for l in lags:
-        a, b = F.col(f"_l{l}"), F.col(f"_l{2 * l}")
+    for l in PRODUCT_LAGS:
+        a, b = F.col(f"_lead{l}"), F.col(f"_lead{2 * l}")
         out.append(F.coalesce(F.avg(b * a * flux()), F.lit(0.0)).alias(feature("c3", lag=l)))
-        out.append(
-            F.coalesce(F.avg(b * b * a - a * flux() * flux()), F.lit(0.0)).alias(
-                feature("time_reversal_asymmetry_statistic", lag=l)
-            )
-        )
-    return s.per_key(*out)
+        turned = F.avg(b * b * a - a * flux() * flux())
+        out.append(F.coalesce(turned, F.lit(0.0)).alias(feature("time_reversal_asymmetry_statistic", lag=l)))
+    return out
+
+
+lagged_products = Pass(prepare_lagged_products, lagged_product_columns)
 
 
 def _solve(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:

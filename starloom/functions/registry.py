@@ -53,6 +53,12 @@ FAMILIES: dict[str, Callable[[Series], DataFrame]] = {
     "drift": trend.drift,
 }
 
+# Families of plain aggregates that run in one pass; small enough to compile well.
+SHARED = (
+    ("moments", "quantiles", "changes", "locations", "strikes", "lagged_products"),
+    ("counts", "peaks", "mass"),
+)
+
 # Template matching compares all pairs of samples of a series.
 EXPENSIVE = ("template_entropies",)
 
@@ -113,8 +119,8 @@ def extract(s: Series, feature_set: str | dict = "comprehensive") -> DataFrame:
     """One row per id with all features of the set.
 
     The located series are written once, bucketed by id, so no family shuffles
-    them again. Each family is a job of its own, written in the same buckets,
-    and the results join without a shuffle too.
+    them again. Families of plain aggregates share a pass, every other one is a
+    job of its own. Results lie in the same buckets and join without a shuffle.
     """
     wanted = FEATURE_SETS[feature_set] if isinstance(feature_set, str) else feature_set
     spark, keys = s.cold.sparkSession, list(s.keys)
@@ -123,16 +129,16 @@ def extract(s: Series, feature_set: str | dict = "comprehensive") -> DataFrame:
     cold, name = materialise_bucketed(located.cold, keys, buckets, [*keys, "pos"])
     located = replace(located, cold=cold)
 
-    def write(item: tuple[str, list[str] | None]) -> tuple[DataFrame, str]:
-        family_name, columns = item
-        found = (FAMILIES.get(family_name) or _EXTRA[family_name])(located)
-        if columns is not None:
-            found = found.select(*keys, *columns)
+    def write(bundle: list[tuple[str, list[str] | None]]) -> tuple[DataFrame, str]:
+        families = [FAMILIES.get(n) or _EXTRA[n] for n, _ in bundle]
+        found = families[0](located) if len(families) == 1 else basic.one_pass(located, families)
+        if all(columns is not None for _, columns in bundle):
+            found = found.select(*keys, *[c for _, columns in bundle for c in columns])
         return materialise_bucketed(numeric(found, s.keys), keys, buckets)
 
     # independent jobs; while one is planned another one runs
     with ThreadPoolExecutor(FAMILIES_AT_ONCE) as pool:
-        written = list(pool.map(write, wanted.items()))
+        written = list(pool.map(write, _bundles(wanted)))
     parts, tables = [part for part, _ in written], [name, *[table for _, table in written]]
     joined = materialise(reduce(lambda a, b: a.join(b, keys, "left"), parts))
     for name in tables:
@@ -140,6 +146,18 @@ def extract(s: Series, feature_set: str | dict = "comprehensive") -> DataFrame:
     return joined
 
 
+def _bundles(wanted: dict) -> list[list[tuple[str, list[str] | None]]]:
+    """Families that share a pass over the data; the others alone."""
+    out: list[list] = [[] for _ in SHARED]
+    for name, columns in wanted.items():
+        group = next((i for i, names in enumerate(SHARED) if name in names), None)
+        if group is None:
+            out.append([(name, columns)])
+        else:
+            out[group].append((name, columns))
+    return [bundle for bundle in out if bundle]
+
+
 def bucket_number(s: Series) -> int:
     """About two million rows per bucket, within what Spark allows."""
     least = int(s.cold.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -25,20 +25,47 @@ CWT_COEFFICIENTS = 15
 CWT_PEAK_WIDTHS = (1, 5)
 
 
+PARTS = ("real", "imag", "abs", "angle")
+
+
 def fft_coefficients(s: Series, number: int = FFT_COEFFICIENTS) -> DataFrame:
     """The first Fourier sums; coefficients beyond n/2 are null."""
-    found = _first_sums(s, number) if number <= FEW else _spectrum(s, number)
+    if number <= FEW:
+        return _as_columns(_first_sums(s, number), s.keys, number)
+    found = _cold_coefficients(s, number)
+    if s.hot is not None:
+        found = found.unionByName(_as_columns(_long_spectrum_sums(s, number), s.keys, number))
+    return found
+
+
+def _as_columns(found: DataFrame, keys: tuple[str, ...], number: int) -> DataFrame:
     out = []
     for k in range(number):
         re, im = F.get("re", F.lit(k)), F.get("im", F.lit(k))
-        for name, value in (
-            ("real", re),
-            ("imag", im),
-            ("abs", F.sqrt(re * re + im * im)),
-            ("angle", F.degrees(F.atan2(im, re))),
-        ):
-            out.append(value.alias(feature("fft_coefficient", name, coeff=k)))
-    return found.select(*s.keys, *out)
+        values = (re, im, F.sqrt(re * re + im * im), F.degrees(F.atan2(im, re)))
+        out += [v.alias(feature("fft_coefficient", part, coeff=k)) for part, v in zip(PARTS, values)]
+    return found.select(*keys, *out)
+
+
+def _cold_coefficients(s: Series, number: int) -> DataFrame:
+    """Coefficients of series that fit a task, straight into their columns."""
+    key = s.keys[0]
+    names = [feature("fft_coefficient", part, coeff=k) for part in PARTS for k in range(number)]
+    kind = s.cold.schema[key].dataType.simpleString()
+    schema = f"{key} {kind}, " + ", ".join(f"{n} double" for n in names)
+
+    def transform(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        z = np.full(number, np.nan, dtype=complex)
+        first = np.fft.rfft(rows.sort_values("pos")["flux"].to_numpy())[:number]
+        z[: len(first)] = first
+        values = np.concatenate([z.real, z.imag, np.abs(z), np.degrees(np.angle(z))])
+        out = pd.DataFrame([values], columns=names)  # NaN arrives as null
+        out.insert(0, key, group[0])
+        return out
+
+    found = s.cold.select(key, "pos", "flux").groupBy(key).applyInPandas(transform, schema)
+    order = [feature("fft_coefficient", part, coeff=k) for k in range(number) for part in PARTS]
+    return found.select(key, *order)
 
 
 def _first_sums(s: Series, number: int) -> DataFrame:
@@ -95,8 +122,11 @@ def _spectrum(s: Series, number: int) -> DataFrame:
         )
 
     found = s.cold.select(key, "pos", "flux").groupBy(key).applyInPandas(transform, schema)
-    if s.hot is None:
-        return found
+    return found if s.hot is None else found.unionByName(_long_spectrum_sums(s, number))
+
+
+def _long_spectrum_sums(s: Series, number: int) -> DataFrame:
+    key = s.keys[0]
     z = long_spectrum(s.hot.filter("_own"), key)
     k = F.col("k").cast("double")
     size = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))
@@ -104,13 +134,12 @@ def _spectrum(s: Series, number: int) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("k", "re", "im"))).alias("c")
     )
     sums = z.groupBy(key).agg(F.array(*[F.sum(F.pow(k, F.lit(float(j))) * size) for j in range(5)]).alias("s"))
-    long = first.join(sums, key).select(
+    return first.join(sums, key).select(
         key,
         F.transform("c", lambda c: c["re"]).alias("re"),
         F.transform("c", lambda c: c["im"]).alias("im"),
         "s",
     )
-    return found.unionByName(long)
 
 
 def long_spectrum(rows: DataFrame, key: str) -> DataFrame:

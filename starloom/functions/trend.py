@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.basic import Pass, with_next
 from starloom.functions.names import feature, flux
 from starloom.functions.tails import t_pvalue
 from starloom.operators.series import Series
@@ -83,29 +84,32 @@ def chunk_trend(s: Series) -> DataFrame:
     return wide
 
 
-def corridor_changes(s: Series) -> DataFrame:
+EDGES = sorted({*CORRIDOR_LOW, *CORRIDOR_HIGH})
+
+
+def prepare_corridors(s: Series) -> Series:
+    return with_next(s.with_quantiles("flux", **{f"_edge{i}": q for i, q in enumerate(EDGES)}))
+
+
+def corridor_columns() -> list[Column]:
     """Mean and variance of steps that start and end inside a quantile corridor."""
-    edges = sorted({*CORRIDOR_LOW, *CORRIDOR_HIGH})
-    s = s.with_quantiles("flux", **{f"_q{i}": q for i, q in enumerate(edges)})
-    s = s.windowed(lambda w: {"_next": F.lead("flux").over(w)}).with_columns(_d=F.col("_next") - flux())
-    lower = F.least(flux(), F.col("_next"))
-    upper = F.greatest(flux(), F.col("_next"))
+    lower, upper = F.least(flux(), F.col("_next")), F.greatest(flux(), F.col("_next"))
     out = []
     for low in CORRIDOR_LOW:
         for high in CORRIDOR_HIGH:
             if low >= high:
                 continue
-            a, b = F.col(f"_q{edges.index(low)}"), F.col(f"_q{edges.index(high)}")
+            a, b = F.col(f"_edge{EDGES.index(low)}"), F.col(f"_edge{EDGES.index(high)}")
             inside = F.col("_next").isNotNull() & (lower >= a) & (upper <= b)
             for isabs in (False, True):
                 step = F.when(inside, F.abs("_d") if isabs else F.col("_d"))
                 for name, value in (("mean", F.avg(step)), ("var", F.var_pop(step))):
-                    out.append(
-                        F.coalesce(value, F.lit(0.0)).alias(
-                            feature("change_quantiles", f_agg=name, isabs=isabs, qh=high, ql=low)
-                        )
-                    )
-    return s.per_key(*out)
+                    column = feature("change_quantiles", f_agg=name, isabs=isabs, qh=high, ql=low)
+                    out.append(F.coalesce(value, F.lit(0.0)).alias(column))
+    return out
+
+
+corridor_changes = Pass(prepare_corridors, corridor_columns)
 
 
 def drift(s: Series) -> DataFrame:

@@ -227,7 +227,8 @@ def box_search(s: Series, periods: list[float], bins: int = 50, widths: tuple[in
     best = box.groupBy(*s.keys).agg(
         F.max_by(
             F.struct("period", "w", "start", "sy", "c", "n", "t0"),
-            F.struct("score", -F.col("period"), -F.col("w"), -F.col("start")),
+            # equal boxes sum in different orders: compare rounded, then the first box
+            F.struct(F.round("score", 9), -F.col("period"), -F.col("w"), -F.col("start")),
         ).alias("b"),
         F.max("score").alias("score"),
     )

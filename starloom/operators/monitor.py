@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import lookup
 from starloom.operators.series import Series
 
 # Metric, comparison, limit and holding time in seconds.
@@ -71,5 +72,5 @@ def window_aggregates(df: DataFrame, size: str, by: list[str], value: str) -> Da
 
 def ratio_breaches(usage: DataFrame, limit: DataFrame, on: list[str], share: float = RATIO_LIMIT) -> DataFrame:
     """Samples whose usage over their limit exceeds ``share``; no limit, no alert."""
-    joined = usage.join(limit, on)
+    joined = lookup(usage, limit, on)
     return joined.withColumn("ratio", F.try_divide(F.col("usage"), F.col("limit"))).filter(F.col("ratio") > share)

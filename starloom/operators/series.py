@@ -64,6 +64,11 @@ class Series:
         per_key = _own(self.hot).groupBy(*self.keys).agg(*[a.alias(n) for n, a in aggregates.items()])
         return replace(self, cold=cold, hot=self.hot.join(F.broadcast(per_key), list(self.keys)))
 
+    def have(self, **aggregates: Column) -> Series:
+        """Like ``with_stats`` for names that mean the same everywhere: those present stay."""
+        missing = {n: a for n, a in aggregates.items() if n not in self.cold.columns}
+        return self.with_stats(**missing) if missing else self
+
     def with_quantiles(self, value: str, **probabilities: float) -> Series:
         """Attach exact, linearly interpolated quantiles of ``value``."""
         whole = Window.partitionBy(*self.keys)

@@ -223,6 +223,17 @@ ORACLES = {
     "periodogram": f"WITH {GLS} SELECT id, {r('frequency', 'frequency')}, {r('power', 'power')} FROM p",
     "periodogram_peaks": f"""WITH {GLS} SELECT id, {r('frequency', 'frequency')}, {r('power', 'power')}, CAST(k AS INTEGER) AS rank
       FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY power DESC, frequency) AS k FROM p) WHERE k <= 3""",
+    "box_search": f"""WITH s AS (SELECT id, min(time) OVER w AS t0, time - min(time) OVER w AS t, flux - avg(flux) OVER w AS y,
+        count(*) OVER w AS n FROM ({bindings.S1_SQL}) WHERE flux > 0 WINDOW w AS (PARTITION BY id)),
+      f AS (SELECT id, t0, n, y, period, least(floor((t / period - floor(t / period)) * 20), 19)::INTEGER AS bin
+        FROM s, (SELECT unnest([{', '.join(repr(p) for p in PERIODS)}]::DOUBLE[]) AS period)),
+      c AS (SELECT id, period, bin, sum(y) AS sy, count(*) AS c, max(t0) AS t0, max(n) AS n FROM f GROUP BY id, period, bin),
+      b AS (SELECT id, period, w, (bin - o + 20) % 20 AS start, sum(sy) AS sy, CAST(sum(c) AS DOUBLE) AS c, max(t0) AS t0, max(n) AS n
+        FROM c, (VALUES (1), (2), (3), (5)) AS v(w), (SELECT unnest(range(5))::INTEGER AS o) WHERE o < w GROUP BY id, period, w, start),
+      q AS (SELECT *, (sy / n) ** 2 / nullif(c / n * (1 - c / n), 0) AS score FROM b WHERE sy < 0),
+      k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, period, w, start) AS k FROM q WHERE score IS NOT NULL)
+      SELECT id, {r('period', 'period')}, {r('-sy / (n - c) - sy / c', 'depth')}, {r('period * w / 20', 'duration')},
+        {r('t0 + period * start / 20 + period * w / 40', 'epoch')}, {r('score', 'score')} FROM k WHERE k = 1""",
     "closest_approach": f"""WITH o AS (SELECT vec_id AS id, {STATE} FROM embeddings),
       p AS (SELECT a.id AS object_id, b.id AS catalog_id, b.x - a.x AS x, b.y - a.y AS y, b.z - a.z AS z,
         b.vx - a.vx AS vx, b.vy - a.vy AS vy, b.vz - a.vz AS vz FROM o a JOIN o b ON a.id <> b.id),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from starloom.functions.registry import extract, impute
 from starloom.operators.assess import class_balance
 from starloom.operators.cleaning import preprocess, valid_samples
-from starloom.operators.joins import attach_labels, not_yet_done
+from starloom.operators.joins import attach_labels, lookup, not_yet_done
 from starloom.operators.selection import feature_names, select_and_save
 from starloom.operators.series import open_series
 from starloom.session import materialise
@@ -76,7 +76,8 @@ def process_dataset(rows: DataFrame, output: str, labels: DataFrame | None = Non
     todo = rows
     done = existing(spark, output) if resume else None
     if done is not None:
-        todo = not_yet_done(rows, done, ["id"])
+        left = not_yet_done(rows.select("id").distinct(), done, ["id"])
+        todo = lookup(rows, left, ["id"])
     todo = materialise(todo)
     matrix = features_of(todo, **options)
     if labels is not None:

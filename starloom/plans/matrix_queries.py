@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.basic import changes, moments, quantiles
+from starloom.functions.basic import changes, moments, one_pass, quantiles
 from starloom.functions.names import feature
 from starloom.operators.cleaning import preprocess
 from starloom.operators.joins import attach_labels
@@ -40,8 +40,7 @@ def flagship(spark: SparkSession, sf_dir: str, min_points: int = 100) -> DataFra
         bindings.lineitem_series(spark, sf_dir), bindings.S2_ORDER, min_valid_points=min_points, outlier_sigma=1.2,
         detrend_flux=False,
     ).located(1)
-    parts = [f(s).select("id", *SMALL_SET[n]) for n, f in (("moments", moments), ("changes", changes), ("quantiles", quantiles))]
-    found = parts[0].join(parts[1], "id").join(parts[2], "id")
+    found = one_pass(s, [moments, changes, quantiles]).select("id", *[c for names in SMALL_SET.values() for c in names])
     return rounded(attach_labels(found, supplier_labels(spark, sf_dir)), 7)
 
 
@@ -130,6 +129,10 @@ ORACLES = {
     "extraction_statistics": f"""WITH m AS ({_matrix_sql('count(*)', 'INTEGER', 7)})
       SELECT count(*) AS n_samples, CAST(7 AS INTEGER) AS n_features, count(*) FILTER (WHERE label = 1) AS n_positive,
         count(*) FILTER (WHERE label <> 1) AS n_negative, {r('count(*) FILTER (WHERE label = 1) / count(*)', 'ratio')} FROM m""",
+    "extract_and_select": f"""WITH m AS ({_matrix_sql('count(*)', 'INTEGER', 7)})
+      SELECT count(*) AS n_samples, CAST(7 AS INTEGER) AS n_features, count(*) FILTER (WHERE label = 1) AS n_positive,
+        count(*) FILTER (WHERE label <> 1) AS n_negative, {r('count(*) FILTER (WHERE label = 1) / count(*)', 'ratio')},
+        CAST(3 AS BIGINT) AS n_selected, CAST(7 AS INTEGER) AS n_total, {r('3 / 7', 'selected_ratio')} FROM m""",
     "series_files": f"""SELECT l_suppkey AS id, count(*) AS n, {r('max(l_extendedprice)', 'top')}, 1.0::DOUBLE AS err, true AS listed
       FROM lineitem GROUP BY l_suppkey""",
 }

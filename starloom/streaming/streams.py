@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.operators import monitor
-from starloom.operators.joins import last_by_key
+from starloom.operators.joins import last_by_key, lookup
 from starloom.operators.series import open_series
 from starloom.plans.extraction import existing
 from starloom.session import materialise
@@ -114,7 +114,8 @@ def held_alerts(df: DataFrame, condition: str, seconds: float, path: str, checkp
     def step(batch: DataFrame, epoch: int) -> None:
         before = existing(spark, f"{state_path}/epoch={epoch - 1}") if epoch else None
         before = before if before is not None else spark.createDataFrame([], empty)
-        rows = batch.select("service", "ts", "event_id", "value").join(before, "service", "left")
+        samples = materialise(batch.select("service", "ts", "event_id", "value"))
+        rows = lookup(samples, before, ["service"], "left")
         fresh = materialise(rows.filter("last is null or ts > last").drop("last", "started", "fired"))
         s = open_series(fresh, ["service"], ["ts", "event_id"]).located()
         s = s.with_columns(_hit=F.coalesce(F.expr(condition), F.lit(False)))
@@ -123,7 +124,7 @@ def held_alerts(df: DataFrame, condition: str, seconds: float, path: str, checkp
         # run 0 goes on from an open run; a service without new rows keeps its state
         runs = marked.filter("_hit").groupBy("service", "_run").agg(F.min("ts").alias("first"), F.max("ts").alias("ended"))
         ends = marked.groupBy("service").agg(F.max("_run").alias("_last_run"), F.max("ts").alias("last"))
-        runs = runs.join(before.select("service", "started", "fired"), "service", "left")
+        runs = lookup(materialise(runs), before.select("service", "started", "fired"), ["service"], "left")
         open_before = (F.col("_run") == 0) & F.col("started").isNotNull()
         runs = runs.select(
             "service", "_run", "ended",
