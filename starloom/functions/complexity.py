@@ -19,6 +19,7 @@ SAMPLE_R = 0.2
 PERMUTATION_DIMENSIONS = (3, 4, 5, 6, 7)
 LZ_BINS = (2, 3, 5, 10, 100)
 TILE = 1024
+STRIP = 64
 
 
 def _entropy(count: Column, total: Column) -> Column:
@@ -210,12 +211,19 @@ def template_entropies(s: Series, tile: int = TILE) -> DataFrame:
 
 def _tile_matches(row, key: str, tile: int, radii: tuple[float, ...], fields: list[str]) -> pd.DataFrame:
     x, y, z, ox, oy, oz = [np.asarray(v, dtype=float) for v in (row.x, row.y, row.z, row.ox, row.oy, row.oz)]
-    # a template cut off by the end of the series has NaN and matches nothing
-    near_two = np.maximum(np.abs(x[:, None] - ox[None, :]), np.abs(y[:, None] - oy[None, :]))
-    near_three = np.maximum(near_two, np.abs(z[:, None] - oz[None, :]))
     limits = [r * row.std for r in radii]
-    counts = [np.count_nonzero(near <= limit, axis=1) for near in (near_two, near_three) for limit in limits]
-    frame = pd.DataFrame(np.column_stack(counts), columns=fields)
+    counts = np.empty((len(x), 2 * len(radii)), dtype=np.int64)
+    # strips of templates keep the comparison inside the processor's cache;
+    # one cut off by the end of the series has NaN and matches nothing
+    for start in range(0, len(x), STRIP):
+        part = slice(start, start + STRIP)
+        two = np.abs(np.subtract.outer(x[part], ox))
+        np.maximum(two, np.abs(np.subtract.outer(y[part], oy)), out=two)
+        three = np.maximum(two, np.abs(np.subtract.outer(z[part], oz)))
+        for i, limit in enumerate(limits):
+            counts[part, i] = np.count_nonzero(two <= limit, axis=1)
+            counts[part, len(radii) + i] = np.count_nonzero(three <= limit, axis=1)
+    frame = pd.DataFrame(counts, columns=fields)
     frame.insert(0, "_n", row.n)
     frame.insert(0, "pos", row.t * tile + np.arange(len(x)))
     frame.insert(0, key, row[0])

@@ -30,42 +30,14 @@ PARTS = ("real", "imag", "abs", "angle")
 
 def fft_coefficients(s: Series, number: int = FFT_COEFFICIENTS) -> DataFrame:
     """The first Fourier sums; coefficients beyond n/2 are null."""
-    if number <= FEW:
-        return _as_columns(_first_sums(s, number), s.keys, number)
-    found = _cold_coefficients(s, number)
-    if s.hot is not None:
-        found = found.unionByName(_as_columns(_long_spectrum_sums(s, number), s.keys, number))
-    return found
-
-
-def _as_columns(found: DataFrame, keys: tuple[str, ...], number: int) -> DataFrame:
-    out = []
-    for k in range(number):
-        re, im = F.get("re", F.lit(k)), F.get("im", F.lit(k))
-        values = (re, im, F.sqrt(re * re + im * im), F.degrees(F.atan2(im, re)))
-        out += [v.alias(feature("fft_coefficient", part, coeff=k)) for part, v in zip(PARTS, values)]
-    return found.select(*keys, *out)
-
-
-def _cold_coefficients(s: Series, number: int) -> DataFrame:
-    """Coefficients of series that fit a task, straight into their columns."""
-    key = s.keys[0]
-    names = [feature("fft_coefficient", part, coeff=k) for part in PARTS for k in range(number)]
-    kind = s.cold.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, " + ", ".join(f"{n} double" for n in names)
-
-    def transform(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        z = np.full(number, np.nan, dtype=complex)
-        first = np.fft.rfft(rows.sort_values("pos")["flux"].to_numpy())[:number]
-        z[: len(first)] = first
-        values = np.concatenate([z.real, z.imag, np.abs(z), np.degrees(np.angle(z))])
-        out = pd.DataFrame([values], columns=names)  # NaN arrives as null
-        out.insert(0, key, group[0])
-        return out
-
-    found = s.cold.select(key, "pos", "flux").groupBy(key).applyInPandas(transform, schema)
-    order = [feature("fft_coefficient", part, coeff=k) for k in range(number) for part in PARTS]
-    return found.select(key, *order)
+    found = _first_sums(s, number) if number <= FEW else _spectrum(s, number)
+    size = F.zip_with("re", "im", lambda a, b: F.sqrt(a * a + b * b))
+    turn = F.zip_with("re", "im", lambda a, b: F.degrees(F.atan2(b, a)))
+    found = found.select(*s.keys, F.col("re").alias("real"), F.col("im").alias("imag"), size.alias("abs"), turn.alias("angle"))
+    return found.select(
+        *s.keys,
+        *[F.get(part, F.lit(k)).alias(feature("fft_coefficient", part, coeff=k)) for k in range(number) for part in PARTS],
+    )
 
 
 def _first_sums(s: Series, number: int) -> DataFrame:

@@ -237,12 +237,12 @@ def _hot_quantiles(
     picked = placed.filter(wanted).groupBy(*keys).agg(
         *[F.min(F.when(F.col("pos") == F.floor(h), F.col("_v"))).alias(f"_lo_{n}") for n, h in at.items()],
         *[F.min(F.when(F.col("pos") == F.ceil(h), F.col("_v"))).alias(f"_hi_{n}") for n, h in at.items()],
-        *[F.first(h - F.floor(h)).alias(f"_f_{n}") for n, h in at.items()],
-    )
-    return picked.select(
-        *keys,
-        *[
-            (F.col(f"_lo_{n}") * (1 - F.col(f"_f_{n}")) + F.col(f"_hi_{n}") * F.col(f"_f_{n}")).alias(n)
-            for n in probabilities
-        ],
+        *[F.first(h).alias(f"_h_{n}") for n, h in at.items()],
     )
+
+    def between(n: str) -> Column:
+        """The same arithmetic as ``percentile``, so that ties compare equal."""
+        lo, hi, h = F.col(f"_lo_{n}"), F.col(f"_hi_{n}"), F.col(f"_h_{n}")
+        return F.when(lo == hi, lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi)
+
+    return picked.select(*keys, *[between(n).alias(n) for n in probabilities])
