@@ -240,9 +240,14 @@ def forest_importance(df: DataFrame, names: list[str], trees: int = 100, seed: i
     )
 
 
+def comparable(score: str) -> Column:
+    """Scores that differ only by the order of summation compare equal."""
+    return F.round(F.col(score), 10)
+
+
 def top_features(scores: DataFrame, score: str, k: int | None = None) -> DataFrame:
     """The k best by score, ties by name; all of them without k."""
-    ordered = scores.filter(F.col(score).isNotNull()).orderBy(F.col(score).desc(), "feature")
+    ordered = scores.filter(F.col(score).isNotNull()).orderBy(comparable(score).desc(), "feature")
     return ordered.limit(k) if k else ordered
 
 
@@ -313,8 +318,8 @@ def average_rank(scores: DataFrame, columns: list[str]) -> DataFrame:
     """Descending ranks per score, ties at their mean, and the mean of the ranks."""
     out = scores
     for c in columns:
-        order = Window.partitionBy(F.lit(1)).orderBy(F.col(c).desc_nulls_last())
-        ties = Window.partitionBy(c)
+        order = Window.partitionBy(F.lit(1)).orderBy(comparable(c).desc_nulls_last())
+        ties = Window.partitionBy(comparable(c))
         out = out.withColumn(f"{c}_rank", F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0))
     total = sum([F.col(f"{c}_rank") for c in columns[1:]], F.col(f"{columns[0]}_rank"))
     return out.withColumn("avg_rank", total / len(columns))

@@ -115,8 +115,8 @@ ORACLES = {
         ORDER BY f_score DESC, feature LIMIT 10)""",
     "importance_ranking": f"""WITH {F_SCORES}, {MI},
       s AS (SELECT * FROM mi JOIN f USING (feature)),
-      k AS (SELECT *, rank() OVER (ORDER BY mutual_info DESC) + (count(*) OVER (PARTITION BY mutual_info) - 1) / 2 AS a,
-        rank() OVER (ORDER BY f_score DESC) + (count(*) OVER (PARTITION BY f_score) - 1) / 2 AS b FROM s)
+      k AS (SELECT *, rank() OVER (ORDER BY round(mutual_info, 10) DESC) + (count(*) OVER (PARTITION BY round(mutual_info, 10)) - 1) / 2 AS a,
+        rank() OVER (ORDER BY round(f_score, 10) DESC) + (count(*) OVER (PARTITION BY round(f_score, 10)) - 1) / 2 AS b FROM s)
       SELECT feature, {r('mutual_info', 'mutual_info')}, {r('f_score', 'f_score')}, {r('a', 'mutual_info_rank')},
         {r('b', 'f_score_rank')}, {r('(a + b) / 2', 'avg_rank')} FROM k ORDER BY (a + b) / 2, feature LIMIT 50""",
 }
