@@ -14,6 +14,8 @@ S2_ORDER = ["time", "order_key", "line_number"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Its times have no zone and are read as UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
