@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import quality
+from starloom.llm import minhash, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_rules(docs).drop("text")
 
 
-QUERIES: dict[str, Query] = {"op5_quality_rules": op5_quality_rules}
+QUERIES: dict[str, Query] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
+}
 ORACLES: dict[str, str] = {}
