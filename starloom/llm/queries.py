@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, minhash, quality, substring
+from starloom.llm import decontaminate, minhash, quality, substring, token_counts, token_output
+from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,10 +42,30 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs).drop("text")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the package is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json")).drop("text")
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark)
+    token_output.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return token_output.read_tokens(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_token_counts": op6_token_counts,
+    "op10_token_output": op10_token_output,
 }
 ORACLES: dict[str, str] = {}

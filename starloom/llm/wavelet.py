@@ -58,12 +58,12 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, values: np.ndarray, bits: int | None = None) -> WaveletMatrix:
-        values = np.asarray(values, np.uint32)
+        values = np.asarray(values)
         bits = bits or max(1, int(values.max(initial=0)).bit_length())
-        planes, size = [], len(values)
+        kind = np.uint16 if bits <= 16 else np.uint32
+        values, planes, size = values.astype(kind), [], len(values)
         for level in range(bits - 1, -1, -1):
-            bit = (values >> np.uint32(level)) & np.uint32(1)
-            ones = bit.astype(bool)
+            ones = (values & kind(1 << level)).astype(bool)
             planes.append(BitPlane.of(ones))
             values = np.concatenate([values[~ones], values[ones]])
         return cls(planes, size)
@@ -107,12 +107,14 @@ class WaveletMatrix:
         return at
 
     def all(self) -> np.ndarray:
-        """The whole sequence, plane by plane from the last."""
-        order = np.arange(self.size)
-        out = np.zeros(self.size, np.uint32)
-        for level, plane in enumerate(self.planes):
-            bits = np.unpackbits(plane.words.view(np.uint8), count=self.size, bitorder="little")
-            bits = bits.astype(bool)
-            out[order[bits]] |= np.uint32(1 << (len(self.planes) - 1 - level))
-            order = np.concatenate([order[~bits], order[bits]])
-        return out
+        """The whole sequence: from the last plane up, each level's order is undone."""
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        values = np.zeros(self.size, kind)
+        for level in range(len(self.planes) - 1, -1, -1):
+            plane, zeros = self.planes[level], self.zeros[level]
+            ones = np.unpackbits(plane.words.view(np.uint8), count=self.size, bitorder="little").astype(bool)
+            above = np.empty(self.size, kind)
+            above[~ones] = values[:zeros]
+            above[ones] = values[zeros:] | kind(1 << (len(self.planes) - 1 - level))
+            values = above
+        return values
