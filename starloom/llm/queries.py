@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, minhash, quality, substring, token_counts, token_output
+from starloom.llm import decontaminate, minhash, mixing, quality, substring, token_counts, token_output, url_filter
 from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    narrow = docs.select("doc_id", "source", mixing.n_words("text").alias("words"))
+    return mixing.mix(narrow, size="words").select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_rules(docs).drop("text")
@@ -54,6 +60,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json")).drop("text")
 
 
+#: Rules of the contract: verdict, host, path. Fixed values.
+PLACE_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = tuple(url_filter.place_rule(*r) for r in PLACE_RULES)
+    return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
     token_output.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
@@ -64,8 +85,10 @@ QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_mix_sources": op4_mix_sources,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_counts": op6_token_counts,
+    "op7_url_filter": op7_url_filter,
     "op10_token_output": op10_token_output,
 }
 ORACLES: dict[str, str] = {}
