@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, minhash, mixing, quality, substring, token_counts, token_output, url_filter
+from starloom.llm import chat, decontaminate, minhash, mixing, quality, substring, token_counts, token_output, url_filter
 from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,21 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kinds = [f"cast({c} as {rows.schema[c].dataType.simpleString()}) as {c}" for c in rows.columns]
+    marks = "transform(array('user', 'assistant'), (r, i) -> struct(-7 as conv_id, i as turn, r as role, t as text))"
+    extra = spark.range(1).select(F.lit("\\### Assistant: </turn> ok").alias("t")).selectExpr(f"inline({marks})").selectExpr(*kinds)
+    chats = chat.read_chats(chat.format_chats(rows.unionByName(extra)))
+    loss = F.array_join("loss_texts", "")
+    spoken = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chats.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(spoken, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
     token_output.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
@@ -89,6 +104,26 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
+    "op9_chat_format": op9_chat_format,
     "op10_token_output": op10_token_output,
 }
-ORACLES: dict[str, str] = {}
+#: Blocks of equal neighbouring roles have a head each; marks and escapes are counted.
+OP9_SQL = r"""
+  WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+  ), o AS (
+    SELECT *, coalesce(role <> lag(role) OVER w, true) AS head,
+      replace(replace(replace(text, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>') AS escaped,
+      replace(replace(replace(replace(role, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>'), ':', '\:') AS name
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+  )
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(escaped) + 7 + CASE WHEN head THEN 7 + length(name) ELSE 0 END) - 1 AS BIGINT) AS formatted_chars
+  FROM o GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op9_chat_format": OP9_SQL}
