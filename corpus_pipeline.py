@@ -1,23 +1,73 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread."""
+"""The corpus pipeline: stages over ``documents``, each written and reread.
+
+Every stage takes and returns whole documents with the columns of
+``documents``; the last one returns the tokens' table of contents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import quality
-from starloom.session import materialise
+from starloom.llm import decontaminate, minhash, mixing, quality, queries, token_output
+from starloom.session import materialise, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """The documents with another text and its length, columns in order."""
+    new = docs.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return new.select(docs.columns)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go; a null text is rejected."""
     return quality.quality_rules(docs).filter("kept").select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays.
+
+    Of several rows of one id the smallest text stays; rows without an id stay.
+    """
+    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    one = named.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row")).select("row.*")
+    return one.unionByName(docs.filter("doc_id is null"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of the benchmark are cut out; a document of which no word is left goes."""
+    found = decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+    left = found.filter("n_hit = 0 or n_hit < n_words")
+    return _with_text(left.select(*docs.columns, "spans"), decontaminate.without_spans()).select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target shares: a row per copy of a document, the last one of a source cut to its budget."""
+    mixed = mixing.epochs(mixing.mix(docs))
+    return _with_text(mixed, F.col("text")).select(docs.columns)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in wavelet matrices, and what is read back from them."""
+    path = scratch_path(spark)
+    token_output.write_tokens(docs, path, queries.vocabulary("word_bpe_49k.json"))
+    return token_output.read_tokens(spark, path)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_stage),
+    ("MinHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("token-ID / binary output", token_stage),
+]
 
 #: Tokens cannot be expressed in SQL.
 ORACLE_SQL: str | None = None

@@ -1,0 +1,140 @@
+"""Cross-entropy difference: how much likelier a text is under a target model than under the background's.
+
+Both models are n-gram models of the same order, smoothing and size over one
+vocabulary of 128 symbols, so every count of the corpus goes in, no text has
+unknown symbols, and a model has at most 128 ** order entries whatever the
+size of the corpus. That bound is what lets the tables be broadcast.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.llm import words as W
+
+ORDER = 3
+BITS = 7
+SIZE = 1 << BITS
+
+
+def _symbols() -> np.ndarray:
+    """A symbol for each byte: 0 begins a text; letters without case, other ASCII as it is, UTF-8 bytes in coarse classes."""
+    out, new = np.zeros(256, np.int32), 1
+    for b in range(0x80):
+        if 0x41 <= b <= 0x5A:
+            continue
+        if b < 0x20 or b == 0x7F:
+            out[b] = 1
+        else:
+            new += 1
+            out[b] = new
+    out[0x41:0x5B] = out[0x61:0x7B]
+    for b in range(0x80, 0xC0, 2):
+        new += 1
+        out[b : b + 2] = new
+    for b in range(0xC0, 0x100, 3):
+        new += 1
+        out[b : b + 3] = new
+    return out
+
+
+SYMBOLS = _symbols()
+
+
+def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each byte, and the offsets of the texts."""
+    data, offsets = W.text_bytes(column)
+    symbols = SYMBOLS[data]
+    grams = symbols.copy()
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(offsets[:-1], np.diff(offsets))
+    for back in range(1, ORDER):
+        before = np.zeros_like(symbols)
+        before[back:] = symbols[:-back]
+        before[place < back] = 0
+        grams |= before << (BITS * back)
+    return grams, offsets
+
+
+def gram_counts(docs: DataFrame, text: str, target: str) -> DataFrame:
+    """Counts (gram, target, background) over all texts; the background is all of them, the target those marked."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, SIZE**ORDER), np.int64)
+        for batch in batches:
+            for chunk in W.chunks(batch, text):
+                grams, offsets = _grams(chunk.column(text))
+                marked = np.repeat(np.asarray(chunk.column(target).fill_null(False)), np.diff(offsets))
+                counts[0] += np.bincount(grams[marked], minlength=counts.shape[1])
+                counts[1] += np.bincount(grams, minlength=counts.shape[1])
+        found = np.flatnonzero(counts[1])
+        for i in range(0, len(found), 100_000):
+            some = found[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *map(pa.array, counts[:, some])], ["gram", "target", "background"])
+
+    parts = docs.select(text, target).mapInArrow(count, "gram int, target long, background long")
+    return parts.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def losses(counts: np.ndarray) -> np.ndarray:
+    """Negative log probability of the last symbol of each n-gram, smoothed by the number of kinds seen (Witten-Bell)."""
+    lower = np.full(SIZE, 1 / SIZE)
+    for n in range(1, ORDER + 1):
+        own = counts.reshape(-1, SIZE**n).sum(axis=0).reshape(-1, SIZE)
+        kinds = np.minimum(own, 1).sum(axis=1, keepdims=True)
+        total = own.sum(axis=1, keepdims=True)
+        backed = np.broadcast_to(lower, own.shape) if n == 1 else np.tile(lower, (SIZE, 1))
+        mixed = (own + np.maximum(kinds, 1e-9) * backed) / (total + np.maximum(kinds, 1e-9))
+        lower = mixed.reshape(-1, SIZE)
+    return -np.log(lower.ravel()).astype(np.float32)
+
+
+FIELDS = [
+    T.StructField("n_tokens", T.LongType(), False),
+    T.StructField("target_loss", T.DoubleType(), True),
+    T.StructField("background_loss", T.DoubleType(), True),
+    T.StructField("score", T.DoubleType(), True),
+]
+
+
+def score(docs: DataFrame, counted: DataFrame, text: str = "text") -> DataFrame:
+    """Adds the mean loss per token under both models and their difference; below 0 is nearer to the target.
+
+    The larger corpus is scaled down to the size of the smaller, so that both
+    models are smoothed alike. Null and empty texts have no tokens and null
+    losses. Columns named like a result are replaced.
+    """
+    rows = counted.toPandas()  # at most 128 ** order rows
+    both = np.zeros((2, SIZE**ORDER))
+    both[0, rows["gram"]], both[1, rows["gram"]] = rows["target"], rows["background"]
+    sizes = both.sum(axis=1)
+    both *= (sizes.min() / np.maximum(sizes, 1))[:, None] if sizes.min() > 0 else 1.0
+    tables = docs.sparkSession.sparkContext.broadcast(np.stack([losses(both[0]), losses(both[1])]))
+
+    def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
+        grams, offsets = _grams(batch.column(text))
+        sizes = np.diff(offsets)
+        sums = []
+        for table in tables.value:
+            running = np.zeros(len(grams) + 1)
+            np.cumsum(table[grams], dtype=np.float64, out=running[1:])
+            sums.append(np.diff(running[offsets]) / np.maximum(sizes, 1))
+        none = sizes == 0
+        return [pa.array(sizes), *(pa.array(x, mask=none) for x in (sums[0], sums[1], sums[0] - sums[1]))]
+
+    return W.map_texts(docs, text, FIELDS, kernel)
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """Scores every row of ``docs``; the target are the documents whose labels are all 1.
+
+    Without any such document the target model is uniform.
+    """
+    good = labels.groupBy(F.col(doc_id).alias("__id")).agg((F.min(label) == 1).alias("__target"))
+    marked = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(good, "__id", "left")
+    return score(docs, gram_counts(marked, "__text", "__target"), text)
