@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, minhash, mixing, quality, substring, token_counts, token_output, url_filter
+from starloom.llm import chat, decontaminate, lm_scoring, minhash, mixing, quality, substring, token_counts, token_output, url_filter
 from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_scoring.cross_entropy_difference(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     kinds = [f"cast({c} as {rows.schema[c].dataType.simpleString()}) as {c}" for c in rows.columns]
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_chat_format": op9_chat_format,
     "op10_token_output": op10_token_output,
 }
