@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, lm_scoring, minhash, mixing, quality, substring, token_counts, token_output, url_filter
+from starloom.llm import chat, decontaminate, lm_scoring, minhash, mixing, oracles, quality, substring, token_counts, token_output, url_filter
 from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,23 +113,12 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_token_output": op10_token_output,
 }
-#: Blocks of equal neighbouring roles have a head each; marks and escapes are counted.
-OP9_SQL = r"""
-  WITH t AS (
-    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
-  ), o AS (
-    SELECT *, coalesce(role <> lag(role) OVER w, true) AS head,
-      replace(replace(replace(text, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>') AS escaped,
-      replace(replace(replace(replace(role, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>'), ':', '\:') AS name
-    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
-  )
-  SELECT conv_id, count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-    CAST(sum(length(escaped) + 7 + CASE WHEN head THEN 7 + length(name) ELSE 0 END) - 1 AS BIGINT) AS formatted_chars
-  FROM o GROUP BY conv_id
-"""
-
-ORACLES: dict[str, str] = {"op9_chat_format": OP9_SQL}
+ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": oracles.OP1,
+    "op2_substring_dedup": oracles.OP2,
+    "op3_benchmark_decontamination": oracles.OP3,
+    "op4_mix_sources": oracles.OP4,
+    "op5_quality_rules": oracles.OP5,
+    "op7_url_filter": oracles.OP7,
+    "op9_chat_format": oracles.OP9,
+}
