@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import replace
 from functools import reduce
 
@@ -20,6 +21,7 @@ from starloom.operators.series import Series, open_series
 from starloom.session import materialise, materialise_bucketed
 
 HALO = 200
+REACH: dict[str, int] = {}  # of families that look further than HALO
 FAMILIES_AT_ONCE = 4
 
 FAMILIES: dict[str, Callable[[Series], DataFrame]] = {
@@ -94,11 +96,15 @@ FEATURE_SETS = {
 }
 
 
-def register(name: str, family: Callable[[Series], DataFrame]) -> None:
-    """Add a family of your own; it joins the efficient and comprehensive sets."""
+def register(name: str, family: Callable[[Series], DataFrame], halo: int = HALO) -> None:
+    """Add a family of your own; it joins the efficient and comprehensive sets.
+
+    ``halo`` is how many rows its ordered windows look back or ahead.
+    """
     if name in FAMILIES or name in _EXTRA:
         raise ValueError(f"family {name!r} exists")
     FAMILIES[name] = family
+    REACH[name] = halo
     FEATURE_SETS["efficient"][name] = None
     FEATURE_SETS["comprehensive"][name] = None
 
@@ -125,7 +131,7 @@ def extract(s: Series, feature_set: str | dict = "comprehensive") -> DataFrame:
     wanted = FEATURE_SETS[feature_set] if isinstance(feature_set, str) else feature_set
     spark, keys = s.cold.sparkSession, list(s.keys)
     buckets = bucket_number(s)
-    located = replace(s, cold=s.cold.repartition(buckets, *keys)).located(HALO)
+    located = replace(s, cold=s.cold.repartition(buckets, *keys)).located(max([HALO, *(REACH.get(n, 0) for n in wanted)]))
     cold, name = materialise_bucketed(located.cold, keys, buckets, [*keys, "pos"])
     located = replace(located, cold=cold)
 
@@ -138,7 +144,7 @@ def extract(s: Series, feature_set: str | dict = "comprehensive") -> DataFrame:
 
     # independent jobs; while one is planned another one runs
     with ThreadPoolExecutor(FAMILIES_AT_ONCE) as pool:
-        written = list(pool.map(write, _bundles(wanted)))
+        written = [job.result() for job in [pool.submit(copy_context().run, write, b) for b in _bundles(wanted)]]
     parts, tables = [part for part, _ in written], [name, *[table for _, table in written]]
     joined = materialise(reduce(lambda a, b: a.join(b, keys, "left"), parts))
     for name in tables:
@@ -164,12 +170,13 @@ def bucket_number(s: Series) -> int:
     return min(max(least, s.size // 2_000_000), 50_000)
 
 
-def impute(features: DataFrame, keys: list[str]) -> DataFrame:
+def impute(features: DataFrame, keys: list[str], written: bool = False) -> DataFrame:
     """Replace infinities by the column's finite extremes and gaps by its median.
 
-    One aggregate over the whole table gives one row of statistics.
+    One aggregate over the whole table gives one row of statistics. The table
+    is read several times and so written first, unless it is ``written`` already.
     """
-    features = materialise(features)
+    features = features if written else materialise(features)
     names = [c for c in features.columns if c not in keys]
     inf = float("inf")
 

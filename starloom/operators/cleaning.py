@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.series import Series, open_series
+from starloom.session import materialise
 
 # Fixed value: scale from the median absolute deviation to a standard deviation.
 MAD_SCALE = 1.4826
 
+CHUNK_POINTS = 100_000
 NORMALISATIONS = ("median", "mean", "minmax")
 
 
@@ -96,8 +98,11 @@ def interpolate_gaps(s: Series, max_gap: float = 0.5) -> Series:
 
     Samples that share a time count as one, their mean. Each interval between
     neighbours emits the grid points that fall into it, so even a hot series
-    is resampled by many tasks.
+    is resampled by many tasks. A long interval is cut into chunks of points
+    that are dealt out before they are emitted; no row holds more than a chunk.
+    The series are written first: what made them runs once.
     """
+    s = s.map(materialise)
     ties = [c for c in s.order if c != "time"]
     blank = {c: F.lit(None).cast(s.cold.schema[c].dataType) for c in ties}
 
@@ -119,7 +124,8 @@ def interpolate_gaps(s: Series, max_gap: float = 0.5) -> Series:
         return F.ceil((t - F.col("_t0")) / F.col("_step"))
 
     first, last = index(F.col("time")), index(F.col("_t1")) - 1
-    points = gaps.where(last >= first).with_columns(_g=F.explode(F.sequence(first, last)))
+    ranged = gaps.with_columns(_first=first, _last=last).where(F.col("_last") >= F.col("_first"))
+    points = ranged.map(lambda df: _grid_points(df, s.keys))
     at = F.col("_t0") + F.col("_g") * F.col("_step")
     share = (F.col("_at") - F.col("time")) / F.col("_dt")
     points = points.with_columns(_at=at).with_columns(
@@ -140,6 +146,16 @@ def interpolate_gaps(s: Series, max_gap: float = 0.5) -> Series:
     return replace(s, cold=both(flagged.cold, points.cold), hot=hot)
 
 
+def _grid_points(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """A row for each number from ``_first`` to ``_last``."""
+    df = _own_rows(df)
+    chunk = F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(CHUNK_POINTS).cast("long")))
+    few = df.filter(F.col("_last") - F.col("_first") < CHUNK_POINTS)
+    many = df.filter(F.col("_last") - F.col("_first") >= CHUNK_POINTS).withColumn("_first", chunk)
+    many = many.withColumn("_last", F.least("_last", F.col("_first") + CHUNK_POINTS - 1)).repartition(*keys, "_first")
+    return few.unionByName(many).withColumn("_g", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+
+
 def _own_rows(df: DataFrame) -> DataFrame:
     return df.filter("_own") if "_own" in df.columns else df
 

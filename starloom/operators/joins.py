@@ -52,9 +52,17 @@ def first_by_key(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, order: Column | None = None, default: int = 0) -> DataFrame:
-    """Label of each id, ``default`` if there is none; of repeated labels the last wins."""
-    slim = labels if order is not None else labels.select("id", "label")
-    unique = last_by_key(slim, ["id"], order if order is not None else F.col("label")).select("id", "label")
+    """Label of each id, ``default`` if there is none.
+
+    Of repeated labels the last in ``order`` wins. Without an order there is no
+    last one, so labels of an id that differ are an error when the rows are read.
+    """
+    if order is not None:
+        unique = last_by_key(labels, ["id"], order).select("id", "label")
+    else:
+        seen = labels.groupBy("id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        conflict = F.raise_error(F.concat(F.lit("labels of an id differ and have no order: "), F.col("id").cast("string")))
+        unique = seen.select("id", F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")).otherwise(conflict.cast("int")).alias("label"))
     joined = lookup(features.drop("label"), unique, ["id"], "left")
     return joined.withColumn("label", F.coalesce(F.col("label"), F.lit(default)).cast("int"))
 

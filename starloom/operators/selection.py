@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from starloom.session import materialise
 
 METHODS = ("relevance", "mutual_info", "f_test", "random_forest", "all")
 MI_BINS = 10
+DEPTH = 30
 
 
 def feature_names(df: DataFrame, id_column: str = "id", label_column: str = "label") -> list[str]:
@@ -42,23 +43,43 @@ def long_form(df: DataFrame, names: list[str]) -> DataFrame:
 def correlations(df: DataFrame, names: list[str]) -> DataFrame:
     """Pearson correlation of every pair of features, earlier feature first.
 
-    The matrix has one cell per pair of features, whatever the number of rows.
+    A pair is compared on the rows that have both values; null, NaN and
+    infinite values count as missing. Sums of products are taken per partition,
+    around the column means, and added up: a row per pair, whatever the number
+    of rows. A pair without spread has no correlation (null).
     """
-    vectors = VectorAssembler(inputCols=names, outputCol="_v", handleInvalid="error").transform(df.select(*names))
-    matrix = Correlation.corr(vectors.select("_v"), "_v", "pearson").first()[0].toArray()
-    rows = [
-        (i, j, names[i], names[j], float(matrix[i, j])) for j in range(len(names)) for i in range(j)
-    ]
-    return df.sparkSession.createDataFrame(
-        pd.DataFrame(rows, columns=["i", "j", "earlier", "feature", "corr"]),
-        "i int, j int, earlier string, feature string, corr double",
+    values = df.select(*[F.col(n).cast("double").alias(f"_{i}") for i, n in enumerate(names)])
+    finite = [F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)) for c in values.columns]
+    means = values.agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in finite]).alias("m")).first()["m"]
+    first, second = np.triu_indices(len(names), 1)
+
+    def sums(batches):
+        total = np.zeros((6, len(first)))
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64", na_value=np.nan) - np.array(means)
+            there = np.isfinite(x)
+            x, m = np.where(there, x, 0.0), there.astype("float64")
+            products = (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)
+            total += np.stack([p[first, second] for p in products])
+        yield pd.DataFrame({"i": first, "j": second, **{c: total[k] for k, c in enumerate(("n", "sx", "sy", "xx", "yy", "xy"))}})
+
+    parts = values.mapInPandas(sums, "i int, j int, n double, sx double, sy double, xx double, yy double, xy double")
+    added = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "xx", "yy", "xy")])
+    across = F.expr("xy - sx * sy / n")
+    spread = [F.expr(f"greatest(0, {s}{s} - s{s} * s{s} / n)") for s in ("x", "y")]
+    # What rounding leaves of the spread of a constant is none.
+    some = (spread[0] > F.col("xx") * 1e-14) & (spread[1] > F.col("yy") * 1e-14)
+    named = F.array(*[F.lit(n) for n in names])
+    return added.select(
+        "i", "j", F.get(named, F.col("i")).alias("earlier"), F.get(named, F.col("j")).alias("feature"),
+        F.when((F.col("n") > 1) & some, across / F.sqrt(spread[0] * spread[1])).alias("corr"),
     )
 
 
 def uncorrelated(df: DataFrame, names: list[str], threshold: float = 0.95) -> list[str]:
     """Features without a stronger correlation to any earlier one, dropped or not."""
     pairs = correlations(df, names)
-    strong = pairs.filter(~F.isnan("corr") & (F.abs("corr") > threshold)).select("feature").distinct()
+    strong = pairs.filter(F.abs("corr") > threshold).select("feature").distinct()
     dropped = {row["feature"] for row in strong.collect()}
     return [n for n in names if n not in dropped]
 
@@ -171,13 +192,40 @@ def hypergeometric_tail(a: int, b: int, c: int, d: int) -> float:
 
     given = log_p(a) + 1e-7
     low, high = max(0, row + column - n), min(row, column)
-    return min(1.0, sum(math.exp(p) for k in range(low, high + 1) if (p := log_p(k)) <= given))
-
-
-def false_discoveries(tests: DataFrame, fdr_level: float = 0.05) -> DataFrame:
-    """Benjamini-Yekutieli control; one row per feature, so one small window."""
-    everything = Window.partitionBy(F.lit(1))
-    ordered = Window.partitionBy(F.lit(1)).orderBy("p_value", "feature")
+    mode = min(max((row + 1) * (column + 1) // (n + 2), low), high)
+
+    def edge(inside: int, outside: int) -> int | None:
+        """The last table from the mode outwards that is likelier than the given one, plus one step."""
+        if log_p(outside) > given:
+            return None
+        while abs(outside - inside) > 1:
+            middle = (inside + outside) // 2
+            inside, outside = (middle, outside) if log_p(middle) > given else (inside, middle)
+        return outside
+
+    def tail(k: int | None, step: int) -> float:
+        """Probabilities fall by a growing ratio outwards, so the sum ends when they no longer count."""
+        if k is None:
+            return 0.0
+        term = math.exp(log_p(k))
+        total = term
+        while low <= k + step <= high and term > total * 1e-17:
+            if step > 0:
+                term *= (row - k) * (column - k) / ((k + 1) * (n - row - column + k + 1))
+            else:
+                term *= k * (n - row - column + k) / ((row - k + 1) * (column - k + 1))
+            k, total = k + step, total + term
+        return total
+
+    if log_p(mode) <= given:
+        return 1.0
+    return min(1.0, tail(edge(mode, low), -1) + tail(edge(mode, high), 1))
+
+
+def false_discoveries(tests: DataFrame, fdr_level: float = 0.05, by: Column | None = None) -> DataFrame:
+    """Benjamini-Yekutieli control, within each value of ``by``; one row per feature, so small windows."""
+    everything = Window.partitionBy(F.lit(1) if by is None else by)
+    ordered = everything.orderBy("p_value", "feature")
     rank, m = F.col("_rank"), F.col("_m")
     harmonic = F.aggregate(F.sequence(F.lit(1), m.cast("int")), F.lit(0.0), lambda a, i: a + F.lit(1.0) / i)
     ranked = tests.withColumns(
@@ -194,22 +242,20 @@ def relevance(long: DataFrame, fdr_level: float = 0.05) -> DataFrame:
     Two classes give one test per feature. With more classes each is tested
     against the rest and a feature counts if any test finds it relevant.
     """
-    labels = [row["label"] for row in long.select("label").distinct().orderBy("label").limit(1001).collect()]
-    if len(labels) > 1000:
-        raise ValueError("labels must be classes; found more than 1000 values")
+    labels = [row["label"] for row in long.select("label").distinct().orderBy("label").collect()]
     if len(labels) <= 2:
         top = labels[-1] if labels else 1
         return _binary_relevance(long.withColumn("label", (F.col("label") == top).cast("int")), fdr_level)
-    tables = None
-    for label in labels:
-        one = _binary_relevance(long.withColumn("label", (F.col("label") == label).cast("int")), fdr_level)
-        tables = one if tables is None else tables.unionByName(one)
+    each = long.withColumn("_class", F.explode(F.array(*[F.lit(label) for label in labels])))
+    each = each.withColumn("label", (F.col("label") == F.col("_class")).cast("int"))
+    each = each.withColumn("feature", F.struct("_class", "feature")).drop("_class")
+    tables = _binary_relevance(each, fdr_level, F.col("feature._class")).withColumn("feature", F.col("feature.feature"))
     return tables.groupBy("feature").agg(
         F.first("type").alias("type"), F.min("p_value").alias("p_value"), F.bool_or("relevant").alias("relevant")
     )
 
 
-def _binary_relevance(long: DataFrame, fdr_level: float) -> DataFrame:
+def _binary_relevance(long: DataFrame, fdr_level: float, by: Column | None = None) -> DataFrame:
     stats = rank_sums(long)
     kind = (
         F.when(F.col("n_distinct") == 1, "constant").when(F.col("n_distinct") == 2, "binary").otherwise("real")
@@ -219,7 +265,7 @@ def _binary_relevance(long: DataFrame, fdr_level: float) -> DataFrame:
     tests = stats.join(exact, "feature", "left")
     p = F.when(F.col("type") == "binary", F.col("p_value")).otherwise(F.col("p_rank"))
     tests = tests.select("feature", "type", p.alias("p_value"))
-    tested = false_discoveries(tests.filter("type <> 'constant'"), fdr_level)
+    tested = false_discoveries(tests.filter("type <> 'constant'"), fdr_level, by)
     constant = tests.filter("type = 'constant'").select(
         "feature", "type", F.lit(None).cast("double").alias("p_value"), F.lit(False).alias("relevant")
     )
@@ -229,7 +275,8 @@ def _binary_relevance(long: DataFrame, fdr_level: float) -> DataFrame:
 # forest
 
 
-def forest_importance(df: DataFrame, names: list[str], trees: int = 100, seed: int = 42, depth: int = 10) -> DataFrame:
+def forest_importance(df: DataFrame, names: list[str], trees: int = 100, seed: int = 42, depth: int = DEPTH) -> DataFrame:
+    """Importance by a forest of trees of at most ``depth`` levels; Spark grows up to 30."""
     vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(df)
     data = vectors.select(F.col("label").cast("double").alias("label"), "_v")
     model = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth, featuresCol="_v", labelCol="label").fit(data)
@@ -241,8 +288,10 @@ def forest_importance(df: DataFrame, names: list[str], trees: int = 100, seed: i
 
 
 def comparable(score: str) -> Column:
-    """Scores that differ only by the order of summation compare equal."""
-    return F.round(F.col(score), 10)
+    """Scores that differ only by the order of summation compare equal: ten significant digits are kept."""
+    value = F.col(score)
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(value))) - 9)
+    return F.when((value == 0) | F.isnan(value) | (F.abs(value) == float("inf")), value).otherwise(F.round(value / unit) * unit)
 
 
 def top_features(scores: DataFrame, score: str, k: int | None = None) -> DataFrame:
@@ -268,6 +317,7 @@ def select(
     correlation_threshold: float = 0.95,
     fdr_level: float = 0.05,
     seed: int = 42,
+    depth: int = DEPTH,
 ) -> DataFrame:
     """One row per feature that entered the test: ``(feature, score, p_value, selected)``.
 
@@ -300,14 +350,15 @@ def select(
         return table(found, F.col("f_score"), F.col("p_value"), top_features(found, "f_score", k))
 
     def by_forest() -> DataFrame:
-        found = forest_importance(df, names, seed=seed)
+        found = forest_importance(df, names, seed=seed, depth=depth)
         return table(found, F.col("rf_importance"), none, top_forest(found, k))
 
     if method == "all":
-        kept = by_relevance().filter("selected").select("feature")
+        tested = materialise(by_relevance())
+        kept = tested.filter("selected").select("feature")
         for other in (by_information(), by_forest()):
             kept = kept.intersect(other.filter("selected").select("feature"))
-        scores = by_relevance().drop("selected")
+        scores = tested.drop("selected")
         return table(scores, F.col("score"), F.col("p_value"), kept)
     return {
         "relevance": by_relevance, "mutual_info": by_information, "f_test": by_variance, "random_forest": by_forest
@@ -325,14 +376,14 @@ def average_rank(scores: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumn("avg_rank", total / len(columns))
 
 
-def feature_importance(df: DataFrame, top_k: int = 50, with_forest: bool = True, seed: int = 42) -> DataFrame:
+def feature_importance(df: DataFrame, top_k: int = 50, with_forest: bool = True, seed: int = 42, depth: int = DEPTH) -> DataFrame:
     """Scores by several methods with ranks, the ``top_k`` of best mean rank."""
     names = feature_names(df)
     long = long_form(df, names)
     scores = mutual_information(long).join(f_test(long), "feature")
     columns = ["mutual_info", "f_score"]
     if with_forest:
-        scores = scores.join(forest_importance(df, names, seed=seed), "feature")
+        scores = scores.join(forest_importance(df, names, seed=seed, depth=depth), "feature")
         columns.append("rf_importance")
     return average_rank(scores, columns).orderBy("avg_rank", "feature").limit(top_k)
 

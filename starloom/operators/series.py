@@ -18,6 +18,7 @@ Both plans give the same rows; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -41,6 +42,7 @@ class Series:
     order: tuple[str, ...]
     block: int
     size: int  # rows when opened
+    halo: int = 0  # neighbours that ordered windows may see
 
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> Series:
         """Apply a row-wise transformation to both plans."""
@@ -86,7 +88,7 @@ class Series:
         spec = Window.partitionBy(*self.keys).orderBy(*self.order)
         cold = self.cold.withColumn("pos", F.row_number().over(spec).cast("long") - 1)
         if self.hot is None:
-            return replace(self, cold=cold)
+            return replace(self, cold=cold, halo=halo)
         hot = _positions(_own(self.hot).drop("_own", "_block"), self.keys, self.order, self.block)
         size = max(self.block, halo)
         home = F.expr(f"pos div {size}")
@@ -102,11 +104,19 @@ class Series:
         else:
             hot = hot.withColumn("_block", F.col("_home"))
         hot = hot.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
-        return replace(self, cold=cold, hot=materialise(hot))
+        return replace(self, cold=cold, hot=materialise(hot), halo=halo)
 
     def windowed(self, make: Callable[[WindowSpec], dict[str, Column]]) -> Series:
-        """Add ordered-window columns; needs ``located`` with a wide enough halo."""
-        cold = self.cold.withColumns(make(Window.partitionBy(*self.keys).orderBy("pos")))
+        """Add ordered-window columns; needs ``located`` with a wide enough halo.
+
+        A frame that reaches past the halo would see less in the hot plan, so
+        it is an error in both.
+        """
+        columns = make(Window.partitionBy(*self.keys).orderBy("pos"))
+        for name, column in columns.items():
+            if (far := reach(column)) > self.halo:
+                raise ValueError(f"{name} reaches {far} rows, the halo has {self.halo}; locate the series with more")
+        cold = self.cold.withColumns(columns)
         if self.hot is None:
             return replace(self, cold=cold)
         spec = Window.partitionBy(*self.keys, "_block").orderBy("pos")
@@ -146,6 +156,17 @@ class Series:
         return self.rows().groupBy(*self.keys).agg(*aggregates)
 
 
+def reach(column: Column) -> float:
+    """Rows that the ordered windows of an expression look back or ahead, infinity for frames without an end."""
+    text = str(column)
+    steps = [abs(int(n)) for n in re.findall(r", (-?\d+), [^,()]*, (?:true|false)\) OVER \(", text)]
+    for frame in re.findall(r"ROWS BETWEEN (.+?) AND (.+?)\)", text):
+        for edge in frame:
+            number = re.search(r"-?\d+", edge)
+            steps.append(abs(int(number[0])) if number else 0 if "CURRENT" in edge else float("inf"))
+    return max(steps, default=0)
+
+
 def open_series(
     df: DataFrame, keys: list[str], order: list[str], block_rows: int | None = None
 ) -> Series:

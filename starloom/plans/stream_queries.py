@@ -90,6 +90,17 @@ def _held(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("service", F.unix_micros("started").alias("started_us"))
 
 
+def _held_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times cut to the day: many rows of a service share one, and arrivals end within a day. Services are strings."""
+    days = _samples(spark, sf_dir).withColumns(
+        {"ts": F.date_trunc("day", "ts"), "service": F.col("service").cast("string")}
+    )
+    rows = days.withColumn("arrival", F.unix_date(F.to_date("ts")).cast("long") * 100_000_000_000 + F.col("event_id"))
+    out, checkpoint = scratch_path(spark), scratch_path(spark)
+    found = _arriving(spark, rows, "arrival", lambda s: streams.held_alerts(s, "value > 10", 86400.0, out, checkpoint))
+    return found.select("service", F.unix_micros("started").alias("started_us"))
+
+
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = scratch_path(spark), scratch_path(spark)
     found = _arriving(
@@ -107,6 +118,7 @@ QUERIES = {
     "stream_routing": _routed,
     "stream_running_stats": _running,
     "stream_held_alerts": _held,
+    "stream_held_alerts_ties": _held_ties,
     "stream_new_files_to_features": _incremental,
 }
 
@@ -127,5 +139,9 @@ ORACLES = {
         sum(CASE WHEN value / pi() > 10 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM events),
       b AS (SELECT user_id AS service, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS ended_us FROM a WHERE hit GROUP BY user_id, g)
       SELECT service, started_us FROM b WHERE ended_us - started_us >= 3600 * 1000000::BIGINT""",
+    "stream_held_alerts_ties": """WITH s AS (SELECT CAST(user_id AS VARCHAR) AS service, date_trunc('day', ts) AS ts, event_id, value / pi() > 10 AS hit FROM events),
+      a AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY service ORDER BY ts, event_id) AS g FROM s),
+      b AS (SELECT service, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS ended_us FROM a WHERE hit GROUP BY service, g)
+      SELECT service, started_us FROM b WHERE ended_us - started_us >= 86400 * 1000000::BIGINT""",
     "stream_new_files_to_features": feature_queries.ORACLES["feature_moments"],
 }

@@ -103,27 +103,31 @@ def held_alerts(df: DataFrame, condition: str, seconds: float, path: str, checkp
 
     Rows are ``(service, ts, event_id, value)``. Every batch runs the batch
     plan over its rows plus, per service, the open run of earlier batches.
-    That state is a small table per epoch, one row per service, and hot
-    services are cut into blocks like any hot series. Rows older than the last
-    one seen of their service are late and dropped.
+    That state is one row per service. Two tables take turns, so a batch that
+    runs again finds what it read before, and no more than two are kept. Hot
+    services are cut into blocks like any hot series. Rows are in order of
+    time and ``event_id``; what comes before the last row seen is late and dropped.
     """
     spark = df.sparkSession
     state_path, alert_path = f"{path}/state", f"{path}/alerts"
-    empty = "service long, last timestamp, started timestamp, fired boolean"
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    empty = f"service {kinds['service']}, last timestamp, last_id {kinds['event_id']}, started timestamp, fired boolean"
 
     def step(batch: DataFrame, epoch: int) -> None:
-        before = existing(spark, f"{state_path}/epoch={epoch - 1}") if epoch else None
+        before = existing(spark, f"{state_path}/turn={(epoch - 1) % 2}") if epoch else None
         before = before if before is not None else spark.createDataFrame([], empty)
         samples = materialise(batch.select("service", "ts", "event_id", "value"))
         rows = lookup(samples, before, ["service"], "left")
-        fresh = materialise(rows.filter("last is null or ts > last").drop("last", "started", "fired"))
+        later = "last is null or ts > last or (ts = last and event_id > last_id)"
+        fresh = materialise(rows.filter(later).drop("last", "last_id", "started", "fired"))
         s = open_series(fresh, ["service"], ["ts", "event_id"]).located()
         s = s.with_columns(_hit=F.coalesce(F.expr(condition), F.lit(False)))
         s = s.with_running(_run=F.when(F.col("_hit"), F.lit(0)).otherwise(F.lit(1)).cast("long"))
-        marked = s.rows().select("service", "ts", "_hit", "_run")
+        marked = s.rows().select("service", "ts", "event_id", "_hit", "_run")
         # run 0 goes on from an open run; a service without new rows keeps its state
         runs = marked.filter("_hit").groupBy("service", "_run").agg(F.min("ts").alias("first"), F.max("ts").alias("ended"))
-        ends = marked.groupBy("service").agg(F.max("_run").alias("_last_run"), F.max("ts").alias("last"))
+        newest = F.max(F.struct("ts", "event_id"))
+        ends = marked.groupBy("service").agg(F.max("_run").alias("_last_run"), newest["ts"].alias("last"), newest["event_id"].alias("last_id"))
         runs = lookup(materialise(runs), before.select("service", "started", "fired"), ["service"], "left")
         open_before = (F.col("_run") == 0) & F.col("started").isNotNull()
         runs = runs.select(
@@ -142,12 +146,13 @@ def held_alerts(df: DataFrame, condition: str, seconds: float, path: str, checkp
             ["service", "_last_run"], "left",
         )
         silent = before.join(ends.select("service"), "service", "left_anti")
-        after = current.select("service", "last", "started", "fired").unionByName(silent)
-        after.write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
+        after = current.select("service", "last", "last_id", "started", "fired").unionByName(silent)
+        after.write.mode("overwrite").parquet(f"{state_path}/turn={epoch % 2}")
 
     each_batch(df, step, checkpoint)
     alerts = existing(spark, alert_path)
-    return (alerts if alerts is not None else spark.createDataFrame([], "service long, started timestamp")).select("service", "started")
+    none = spark.createDataFrame([], f"service {kinds['service']}, started timestamp")
+    return (alerts if alerts is not None else none).select("service", "started")
 
 
 def new_files_to_features(df: DataFrame, features: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataFrame:
