@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import lookup
-from starloom.operators.series import Series
+from starloom.operators.series import Series, open_series
 
 # Metric, comparison, limit and holding time in seconds.
 RULES = {
@@ -48,6 +48,23 @@ def held(s: Series, breach: Column, seconds: float) -> DataFrame:
     return runs.withColumn("held_s", lasted).filter(F.col("held_s") >= seconds).drop("_run")
 
 
+def rule_alerts(samples: DataFrame, order: list[str], rules: dict[str, tuple[str, str, float, int]] = RULES, block_rows: int | None = None) -> DataFrame:
+    """Alerts of all rules in one pass over ``(ts, metric, service, value)``; a rule is held by its own time.
+
+    A sample counts for the rules of its metric. A missing value is calm.
+    """
+    table = F.array(*[
+        F.struct(F.lit(name).alias("alert"), F.lit(metric).alias("metric"), breaches(F.col("value"), sign, limit).alias("hit"), F.lit(seconds).alias("seconds"))
+        for name, (metric, sign, limit, seconds) in rules.items()
+    ])
+    each = samples.withColumn("_rule", F.explode(F.filter(table, lambda x: x["metric"] == F.col("metric"))))
+    each = each.select("*", "_rule.alert", "_rule.hit", "_rule.seconds").drop("_rule")
+    s = open_series(each, ["alert", "service"], order, block_rows).located()
+    runs = held(s, F.col("hit"), 0.0)
+    limits = F.create_map(*[F.lit(v) for name, rule in rules.items() for v in (name, rule[3])])
+    return runs.filter(F.col("held_s") >= limits[F.col("alert")])
+
+
 def increases(s: Series, counter: str) -> Series:
     """Growth of a counter since the sample before; a drop is a restart from zero."""
     s = s.windowed(lambda w: {"_last": F.lag(counter).over(w)})

@@ -8,6 +8,7 @@ from starloom.plans import (
     cleaning_queries,
     feature_queries,
     matrix_queries,
+    rough_queries,
     selection_queries,
     stream_queries,
 )
@@ -17,6 +18,7 @@ _MODULES = (
     cleaning_queries,
     feature_queries,
     selection_queries,
+    rough_queries,
     catalog_queries,
     assess_queries,
     stream_queries,
