@@ -20,6 +20,7 @@ PERMUTATION_DIMENSIONS = (3, 4, 5, 6, 7)
 LZ_BINS = (2, 3, 5, 10, 100)
 TILE = 1024
 STRIP = 64
+STRETCH = 16  # tiles that a tile is compared with at a time
 
 
 def _entropy(count: Column, total: Column) -> Column:
@@ -149,30 +150,35 @@ class PhraseTrie:
 def template_entropies(s: Series, tile: int = TILE) -> DataFrame:
     """Sample and approximate entropy (m = 2).
 
-    Templates are compared tile against tile. A pair of tiles is one bounded
-    task that gives only match counts per template, so the length of a series
-    sets the number of tasks, not their size.
+    Tiles of templates are compared with longer stretches of the series. Such a
+    pair is one bounded step that gives only match counts per template, summed
+    over the stretch, so the length of a series sets the number of steps, not
+    their size.
     """
+    stretch = tile * STRETCH
     key = s.keys[0]
     kind = s.cold.schema[key].dataType.simpleString()
     s = s.with_stats(_n=F.count(F.lit(1)), _std=F.stddev_pop(flux()))
     s = s.windowed(lambda w: {"_y": F.lead("flux", 1).over(w), "_z": F.lead("flux", 2).over(w)})
-    rows = s.rows().select(key, "pos", "flux", "_y", "_z", "_n", "_std").withColumn("_t", F.expr(f"pos div {tile}"))
-    tiles = rows.groupBy(key, "_t").agg(
-        F.max("_n").alias("_n"),
-        F.max("_std").alias("_std"),
-        F.array_sort(F.collect_list(F.struct("pos", "flux", "_y", "_z"))).alias("p"),
-    )
-    tiles = tiles.select(
-        key, "_t", "_n", "_std",
-        F.transform("p", lambda r: r["flux"]).alias("x"),
-        F.transform("p", lambda r: r["_y"]).alias("y"),
-        F.transform("p", lambda r: r["_z"]).alias("z"),
-    )
-    # every tile meets every tile of its series, one pair per row; the pair
+    rows = s.rows().select(key, "pos", "flux", "_y", "_z", "_n", "_std")
+
+    def cut(name: str, length: int) -> DataFrame:
+        found = rows.withColumn(name, F.expr(f"pos div {length}")).groupBy(key, name).agg(
+            F.max("_n").alias("_n"),
+            F.max("_std").alias("_std"),
+            F.array_sort(F.collect_list(F.struct("pos", "flux", "_y", "_z"))).alias("p"),
+        )
+        return found.select(
+            key, name, "_n", "_std",
+            F.transform("p", lambda r: r["flux"]).alias("x"),
+            F.transform("p", lambda r: r["_y"]).alias("y"),
+            F.transform("p", lambda r: r["_z"]).alias("z"),
+        )
+
+    # every tile meets every stretch of its series, one pair per row; the pair
     # number spreads a long series over all tasks
-    wide = tiles.withColumn("_u", F.explode(F.expr(f"sequence(0L, (_n - 1) div {tile})")))
-    other = tiles.select(key, F.col("_t").alias("_u"), *[F.col(c).alias(f"o{c}") for c in "xyz"])
+    wide = cut("_t", tile).withColumn("_u", F.explode(F.expr(f"sequence(0L, (_n - 1) div {stretch})")))
+    other = cut("_u", stretch).select(key, "_u", *[F.col(c).alias(f"o{c}") for c in "xyz"])
     pairs = wide.join(other, [key, "_u"])
     radii = (*APPROXIMATE_R, SAMPLE_R)
     fields = [f"{m}{i}" for m in "ab" for i in range(len(radii))]

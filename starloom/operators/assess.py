@@ -251,14 +251,39 @@ def box_search(s: Series, periods: list[float], bins: int = 50, widths: tuple[in
 def closest_approach(objects: DataFrame, catalog: DataFrame, reach: float, horizon: float, block_rows: int = 2_000) -> DataFrame:
     """Pairs that pass within ``reach`` of each other inside ``horizon``.
 
-    Both sides have ``id, x, y, z, vx, vy, vz`` and move in straight lines. The
-    cells are wide enough that only neighbours can meet: an object enters its
-    own cell and those around it, a catalog row only its own, so a pair meets
-    once. Crowded cells are cut into tiles on both sides, so no task compares
-    more than a block with a block.
+    Both sides have ``id, x, y, z, vx, vy, vz`` and move in straight lines.
+    Objects are classed by speed in powers of two. A pair is compared at the
+    level of its faster side, in cells wide enough for two objects of that
+    level: the faster side enters the level of its class only, the slower one
+    every level above its own. So a few fast objects meet many slow ones, but do
+    not bring the slow ones together.
+
+    In a level only neighbours can meet: an object enters its own cell and
+    those around it, a catalog row only its own, so a pair meets once. Crowded
+    cells are cut into tiles on both sides, so no task compares more than a
+    block with a block.
     """
-    size = reach + _largest_step(objects, catalog, horizon)
-    cell = ["cx", "cy", "cz"]
+    p = approach_candidates(objects, catalog, reach, horizon, block_rows)
+    return _closest(p, reach, horizon)
+
+
+def approach_candidates(objects: DataFrame, catalog: DataFrame, reach: float, horizon: float, block_rows: int = 2_000) -> DataFrame:
+    """Pairs of objects that share a cell, columns prefixed ``a_`` and ``b_``."""
+    speed = F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy") + F.col("vz") * F.col("vz"))
+    unit = reach if reach > 0 else 1.0
+    steps = speed * F.lit(float(horizon)) / unit
+    grade = F.when(steps > 1, F.ceil(F.log2(steps))).otherwise(0).cast("int")
+    objects, catalog = objects.withColumn("_class", grade), catalog.withColumn("_class", grade)
+    found = objects.select("_class").union(catalog.select("_class")).distinct().orderBy("_class").collect()
+    levels = F.array(*[F.lit(r["_class"]) for r in found if r["_class"] is not None])
+    size = (F.lit(float(reach)) + F.pow(F.lit(2.0), F.col("level") + 1) * unit) * (1 + 1e-9)  # for rounding of the class
+    cell = ["kind", "level", "cx", "cy", "cz"]
+
+    def graded(df: DataFrame, own_kind: int, strict: bool) -> DataFrame:
+        """A row at the level of its class, and one for each level above it for pairs whose other side is faster."""
+        own = df.withColumn("kind", F.lit(own_kind)).withColumn("level", F.col("_class"))
+        above = F.filter(levels, lambda v: v > F.col("_class") if strict else v >= F.col("_class"))
+        return own.unionByName(df.withColumn("kind", F.lit(1 - own_kind)).withColumn("level", F.explode(above)))
     state = ["id", "x", "y", "z", "vx", "vy", "vz"]
 
     def placed(df: DataFrame, spread: int) -> DataFrame:
@@ -271,7 +296,7 @@ def closest_approach(objects: DataFrame, catalog: DataFrame, reach: float, horiz
     def tiles(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).alias(name))
 
-    left, right = placed(objects, 1), placed(catalog, 0)
+    left, right = placed(graded(objects, 0, True), 1), placed(graded(catalog, 1, False), 0)
     # cells with both sides; one row per cell
     counts = tiles(left, "_m").join(tiles(right, "_n"), cell)
     left, right = [lookup(df, counts, cell) for df in (left, right)]
@@ -284,8 +309,12 @@ def closest_approach(objects: DataFrame, catalog: DataFrame, reach: float, horiz
     on = [*cell, "_a", "_b"]
     left = left.select(*on, *[F.col(c).alias(f"a_{c}") for c in state])
     right = right.select(*on, *[F.col(c).alias(f"b_{c}") for c in state])
-    pairs = left.join(right, on).filter("a_id <> b_id")
-    p = {c: F.col(f"b_{c}") - F.col(f"a_{c}") for c in state[1:]}
+    return left.join(right, on).filter("a_id <> b_id")
+
+
+def _closest(pairs: DataFrame, reach: float, horizon: float) -> DataFrame:
+    state = ["x", "y", "z", "vx", "vy", "vz"]
+    p = {c: F.col(f"b_{c}") - F.col(f"a_{c}") for c in state}
     speed2 = p["vx"] * p["vx"] + p["vy"] * p["vy"] + p["vz"] * p["vz"]
     approach = -(p["x"] * p["vx"] + p["y"] * p["vy"] + p["z"] * p["vz"])
     earliest = F.coalesce(F.try_divide(approach, speed2), F.lit(0.0))
@@ -299,10 +328,3 @@ def closest_approach(objects: DataFrame, catalog: DataFrame, reach: float, horiz
         t.alias("time_to_closest_approach"),
         miss.alias("miss_distance"),
     )
-
-
-def _largest_step(objects: DataFrame, catalog: DataFrame, horizon: float) -> float:
-    """How far the relative position of any pair can move: the sum of both top speeds."""
-    speed = F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy") + F.col("vz") * F.col("vz"))
-    tops = [df.agg(F.max(speed)).first()[0] or 0.0 for df in (objects, catalog)]
-    return horizon * (tops[0] + tops[1])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starloom import session
 from starloom.functions.registry import extract
 from starloom.functions import registry
-from starloom.operators import cleaning, joins, selection
+from starloom.operators import assess, cleaning, joins, selection
 from starloom.operators.series import open_series, reach
 
 
@@ -72,3 +72,13 @@ def test_scratch_is_removed_after_a_failure(spark):
             assert exists(path)
             raise KeyError
     assert not exists(path)
+
+
+def test_a_fast_object_does_not_bring_slow_ones_together(spark):
+    """2,000 slow objects far apart and one fast: candidates stay near linear, and no meeting is lost."""
+    slow = [(i, float(i % 50), float(i // 50), 0.0, 0.001 * (i % 3), 0.0, 0.0) for i in range(2000)]
+    columns = "id long, x double, y double, z double, vx double, vy double, vz double"
+    both = spark.createDataFrame([*slow, (9999, -100.0, 7.0, 0.0, 200.0, 0.0, 0.0)], columns)
+    assert assess.approach_candidates(both, both, 0.1, 1.0).count() < 3 * 2001
+    found = assess.closest_approach(both, both, 0.1, 1.0).filter("object_id = 9999").select("catalog_id").collect()
+    assert {r[0] for r in found} == {i for i in range(2000) if i // 50 == 7}
