@@ -23,7 +23,9 @@ RISK_CATEGORIES = ("negligible", "low", "medium", "high", "critical")
 RISK_CUTS = (1e-6, 1e-4, 1e-2, 1e-1)
 
 
-def confident(df: DataFrame, type_column: str, confidence_column: str, thresholds: dict[str, float], otherwise: float) -> DataFrame:
+def confident(
+    df: DataFrame, type_column: str, confidence_column: str, thresholds: dict[str, float] = CONFIDENCE, otherwise: float = RISK_THRESHOLD
+) -> DataFrame:
     """Keep rows whose confidence reaches the threshold of their type."""
     needed: Column = F.lit(otherwise)
     for kind, value in thresholds.items():

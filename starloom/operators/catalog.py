@@ -24,10 +24,6 @@ STELLAR_PARAMETERS = (
     ("d", "distance", 0.0),
 )
 
-# Product subgroups of light curves.
-LONG_CADENCE = ("LLC", "LC")
-SHORT_NAMES = ("LC",)
-
 # Image fields used when none are given, and images per field.
 DEFAULT_FIELDS = (100, 200, 300)
 CCDS = 4

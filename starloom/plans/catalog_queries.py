@@ -10,6 +10,9 @@ from starloom.operators.assess import class_balance
 from starloom.plans import bindings
 from starloom.plans.bindings import table
 from starloom.plans.compare import r, rounded
+from starloom.plans.extraction import merged_batches
+from starloom.session import scratch_path
+from starloom.sources import documents
 
 BASE_URL = "https://images.example/"
 
@@ -86,10 +89,11 @@ def _json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = nested.withColumn(
         "observations", F.transform("observations", lambda o: F.struct(o["obs_id"].alias("obs_id"), catalog.iso_utc(o["observed"]).alias("observed")))
     )
-    text = stamped.select(F.to_json(F.struct("target", "observations")).alias("document"))
+    path = scratch_path(spark)
+    documents.write_documents(stamped.select("target", "observations"), path)
     schema = "target long, observations array<struct<obs_id: long, observed: string>>"
-    parsed = text.select(F.from_json("document", schema).alias("d"))
-    return parsed.select("d.target", F.explode("d.observations").alias("o")).select("target", "o.obs_id", "o.observed")
+    parsed = documents.read_documents(spark, path, schema)
+    return parsed.select("target", F.explode("observations").alias("o")).select("target", "o.obs_id", "o.observed")
 
 
 def _checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +121,7 @@ def _unioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two data sets in one job: rows of both, told apart by a column."""
     a = bindings.event_series(spark, sf_dir).select("id", "time", "flux", "event_id", F.lit("events").alias("dataset"))
     b = bindings.lineitem_series(spark, sf_dir).select("id", "time", "flux", "flux_err", F.lit("lineitem").alias("dataset"))
-    both = a.unionByName(b, allowMissingColumns=True)
+    both = merged_batches([a, b])
     return rounded(both.groupBy("dataset", "id").agg(
         F.count(F.lit(1)).alias("n"), F.max("time").alias("last"), F.count("flux_err").alias("n_err")
     ), 6)

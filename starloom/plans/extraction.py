@@ -12,7 +12,7 @@ from starloom.functions.registry import extract, impute
 from starloom.operators.assess import class_balance
 from starloom.operators.cleaning import preprocess, valid_samples
 from starloom.operators.joins import attach_labels, lookup, not_yet_done
-from starloom.operators.selection import feature_names, select_and_save
+from starloom.operators.selection import select_and_save
 from starloom.operators.series import open_series
 from starloom.session import materialise, scratch
 from starloom.sources.matrix import write_matrix
@@ -151,8 +151,3 @@ def merged_batches(batches: list[DataFrame]) -> DataFrame:
     for other in batches[1:]:
         out = out.unionByName(other, allowMissingColumns=True)
     return out
-
-
-def stats_of(matrix: DataFrame) -> DataFrame:
-    names = feature_names(matrix)
-    return class_balance(matrix).withColumn("n_features", F.lit(len(names)))
