@@ -132,3 +132,16 @@ def quality(text):
     bad = line_chars > 0.3 * chars or symbols > 0.1 * len(w)
     bad = bad or any(sum(len(w[k]) for k in inside(n)) > 0.4 * chars for n in range(5, 11))
     return len(w), chars, symbols, lines, triples, failed, not failed and not bad
+
+
+def hits(text, benchmark):
+    """Places of the words inside an occurrence of a window."""
+    w, hit = letters(text), set()
+    for item, t in benchmark:
+        x = letters(t)
+        n = min(10, len(x))
+        windows = {tuple(x[j : j + n]) for j in range(len(x) - n + 1)} if n and item is not None else set()
+        for j in range(len(w) - n + 1):
+            if tuple(w[j : j + n]) in windows:
+                hit |= set(range(j, j + n))
+    return hit
