@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 
 from starloom.llm import words as W
 from starloom.llm.components import components
-from starloom.llm.quality import _per_text, _twins
 from starloom.session import materialise
 
 
@@ -55,7 +54,7 @@ def shingles(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
         place = np.searchsorted(docs, short)
         docs, values = np.insert(docs, place, short), np.insert(values, place, whole)
     salt = W.mix(np.arange(len(counts), dtype=np.uint64) + np.uint64(1))
-    new = ~_twins(values ^ salt[docs])[1]
+    new = ~W.twins(values ^ salt[docs])[1]
     return values[new], np.searchsorted(docs[new], np.arange(len(counts) + 1))
 
 

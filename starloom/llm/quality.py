@@ -45,30 +45,6 @@ FIELDS = [T.StructField(n, T.LongType(), False) for n in ("n_words", "word_chars
 ]
 
 
-def _twins(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which keys occur more than once, and which occurred before.
-
-    A table of counts by leading bits finds the few that may; only those are sorted.
-    """
-    bits = max(8, min(21, len(keys).bit_length() + 2))
-    slot = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    maybe = np.flatnonzero(np.bincount(slot, minlength=1 << bits)[slot] > 1)
-    some = keys[maybe]
-    order = np.argsort(some, kind="stable")
-    same = np.zeros(len(some) + 1, bool)
-    same[1:-1] = some[order][1:] == some[order][:-1]
-    often, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    often[maybe[order]] = same[1:] | same[:-1]
-    later[maybe[order]] = same[:-1]
-    return often, later
-
-
-def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(values) + 1, np.int64)
-    np.cumsum(values, out=sums[1:])
-    return np.diff(sums[first])
-
-
 def measure(column: pa.Array, rules: Rules) -> list[pa.Array]:
     data, offsets = W.text_bytes(column)
     words = W.find_words(data, offsets)
@@ -76,17 +52,17 @@ def measure(column: pa.Array, rules: Rules) -> list[pa.Array]:
     letters = np.zeros(len(data) + 1, np.int64)
     np.cumsum(_LETTER_START[data], out=letters[1:])
     chars = letters[words.ends] - letters[words.starts]
-    n_words, word_chars = words.counts, _per_text(chars, words.first)
-    symbols = _per_text(_SYMBOL[data], offsets)
+    n_words, word_chars = words.counts, W.per_text(chars, words.first)
+    symbols = W.per_text(_SYMBOL[data], offsets)
     salt = W.mix(np.arange(len(offsets) - 1, dtype=np.uint64) + np.uint64(1))
 
     def repeats(n: int) -> np.ndarray:
         at = W.windows(words, n)
-        often, _ = _twins(W.sequence_hashes(hashes, n)[at] ^ salt[docs[at]])
+        often, _ = W.twins(W.sequence_hashes(hashes, n)[at] ^ salt[docs[at]])
         return W.covered(len(hashes), at[often], n)
 
-    triples = _per_text(repeats(3), words.first)
-    grams = np.array([_per_text(chars * repeats(n), words.first) for n, _ in rules.repeated]).reshape(len(rules.repeated), len(n_words))
+    triples = W.per_text(repeats(3), words.first)
+    grams = np.array([W.per_text(chars * repeats(n), words.first) for n, _ in rules.repeated]).reshape(len(rules.repeated), len(n_words))
 
     # A line is compared from its first byte to its last, white space included.
     lines = W.find_words(data, offsets, _LINE_END)
@@ -95,11 +71,11 @@ def measure(column: pa.Array, rules: Rules) -> list[pa.Array]:
     real = to_word > at_word
     line_docs = lines.docs()
     later = np.zeros(len(real), bool)
-    later[real] = _twins((lines.hashes() ^ salt[line_docs])[real])[1]
+    later[real] = W.twins((lines.hashes() ^ salt[line_docs])[real])[1]
     running = np.zeros(len(chars) + 1, np.int64)
     np.cumsum(chars, out=running[1:])
-    dup_lines = _per_text(later, lines.first)
-    line_chars = _per_text((running[to_word] - running[at_word]) * later, lines.first)
+    dup_lines = W.per_text(later, lines.first)
+    line_chars = W.per_text((running[to_word] - running[at_word]) * later, lines.first)
 
     failed = (n_words < rules.min_words) | (triples > rules.repeat_words * n_words)
     bad = (line_chars > rules.lines * word_chars) | (symbols > rules.symbols * n_words)

@@ -150,6 +150,31 @@ def windows(words: Words, n: int) -> np.ndarray:
     return np.flatnonzero(np.arange(total) + n <= left)
 
 
+def twins(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys occur more than once, and which occurred before.
+
+    A table of counts by leading bits finds the few that may; only those are sorted.
+    """
+    bits = max(8, min(21, len(keys).bit_length() + 2))
+    slot = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    maybe = np.flatnonzero(np.bincount(slot, minlength=1 << bits)[slot] > 1)
+    some = keys[maybe]
+    order = np.argsort(some, kind="stable")
+    same = np.zeros(len(some) + 1, bool)
+    same[1:-1] = some[order][1:] == some[order][:-1]
+    often, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    often[maybe[order]] = same[1:] | same[:-1]
+    later[maybe[order]] = same[:-1]
+    return often, later
+
+
+def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the values between borders."""
+    sums = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=sums[1:])
+    return np.diff(sums[first])
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one range after the other."""
     counts = np.asarray(counts, np.int64)
