@@ -35,7 +35,7 @@ class Settings:
 
     window: int = 13
     anchor: int = 4
-    shard_bytes: int = 8 << 20
+    shard_bytes: int = 6 << 20
     chunk_bytes: int = 6 << 20
 
 
@@ -51,7 +51,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 def _pack(*arrays: np.ndarray | bytes) -> bytes:
     parts = [a if isinstance(a, bytes) else np.ascontiguousarray(a, np.int64).tobytes() for a in arrays]
     sizes = np.array([len(p) for p in parts], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(parts))
+    return zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(parts))
 
 
 def _unpack(blob: bytes, n: int) -> list[bytes]:
@@ -238,7 +238,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return pa.table({"doc_id": pa.array(doc), "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
 
     dealt = rows.mapInArrow(deal, "shard long, segments binary")
-    return dealt.groupBy("shard").applyInArrow(judge, "doc_id long, start long, end long")
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(judge, "doc_id long, start long, end long")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
