@@ -133,8 +133,9 @@ def score(docs: DataFrame, counted: DataFrame, text: str = "text") -> DataFrame:
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """Scores every row of ``docs``; the target are the documents whose labels are all 1.
 
-    Without any such document the target model is uniform.
+    Without any such document the target model is uniform. Texts and labels
+    meet by a merge join at every size: it needs no bound on the labels.
     """
     good = labels.groupBy(F.col(doc_id).alias("__id")).agg((F.min(label) == 1).alias("__target"))
-    marked = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(good, "__id", "left")
+    marked = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(good.hint("merge"), "__id", "left")
     return score(docs, gram_counts(marked, "__text", "__target"), text)
