@@ -32,7 +32,7 @@ class Settings:
     share: float = 1.0
     epochs: int = 3
     seed: str = "mix"
-    range_rows: int = 50_000
+    range_rows: int = 5_000
 
 
 def n_words(text: str) -> Column:
