@@ -186,7 +186,7 @@ def write_tokens(
         if held:
             yield shard()
 
-    ordered = rows.repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, SHARDS).write.option("maxRecordsPerFile", 1).option("compression", "none").mode("overwrite").parquet(to)
 
 
