@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, lm_scoring, minhash, mixing, oracles, quality, substring, token_counts, token_output, url_filter
+from starloom.llm import chat, decontaminate, minhash, mixing, oracles, quality, substring, token_counts, token_output, url_filter, word_scoring
 from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm_scoring.cross_entropy_difference(docs, table(spark, sf_dir, "labels")).drop("text")
+    return word_scoring.cross_entropy_difference(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
