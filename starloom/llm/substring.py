@@ -9,8 +9,11 @@ the matched suffixes the smallest owner.
 
 Equal segments are merged before the shuffle (per chunk of rows) and again in
 the shard; only the smallest document of a segment still has to be judged. The
-others are known to be copies. So a passage that a third of all documents
-share is one segment per chunk, not one per document.
+others are known to be copies, whose ranges go through shards of their documents.
+So a passage that a third of all documents share is one segment per chunk, not
+one per document. Word sequences whose segments could exceed a shard, such as
+those of a header inside different texts, are counted before and are no anchors;
+a window of such sequences alone goes by its own hash.
 """
 
 from __future__ import annotations
@@ -65,7 +68,44 @@ def _numbers(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.int64)
 
 
-def _deal(batch: pa.RecordBatch, s: Settings, shards: int) -> Iterator[tuple[int, bytes]]:
+#: What a hot word sequence counts as when the smallest is looked for.
+LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _without(values: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The hashes with hot ones last."""
+    if not len(hot):
+        return values
+    return np.where(hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values, LAST, values)
+
+
+def _hot(rows: DataFrame, s: Settings, total: int) -> np.ndarray:
+    """Hashes of word sequences that could be anchors of more text than ``shard_bytes``; no other one is of twice that.
+
+    An occurrence counts as the longest segment around it. A chunk leaves out
+    what is below its part of the bound. At most 22 sequences for each shard
+    can be hot.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in W.chunks(batch, "text", s.chunk_bytes):
+                words = W.find_words(*W.text_bytes(chunk.column("text")))
+                values = W.sequence_hashes(words.hashes(), s.anchor)[W.windows(words, s.anchor)] if len(words.starts) else np.zeros(0, np.uint64)
+                each = (2 * s.window - s.anchor) * len(words.data) / max(1, len(words.starts))
+                least = s.shard_bytes * len(words.data) / total
+                if least > each:
+                    values = values[W.twins(values)[0]]
+                keys, counts = np.unique(values, return_counts=True)
+                some = counts * each >= least
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some] * each)], ["hash", "bytes"])
+
+    counted = rows.select("text").mapInArrow(count, "hash long, bytes double").groupBy("hash").agg(F.sum("bytes").alias("bytes"))
+    found = counted.filter(F.col("bytes") > s.shard_bytes).select("hash").collect()
+    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+
+
+def _deal(batch: pa.RecordBatch, s: Settings, shards: int, hot: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[tuple[int, bytes]]:
     """Segments of one chunk by shard, equal ones merged."""
     ids = np.asarray(batch.column("doc_id"))
     data, offsets = W.text_bytes(batch.column("text"))
@@ -75,7 +115,11 @@ def _deal(batch: pa.RecordBatch, s: Settings, shards: int) -> Iterator[tuple[int
         return
     docs = words.docs()
     # An anchor sequence of one text only: windows lie in one text.
-    anchors = _least(W.sequence_hashes(words.hashes(), s.anchor), s.window - s.anchor + 1)[starts]
+    hashes = words.hashes()
+    anchors = _least(_without(W.sequence_hashes(hashes, s.anchor), hot), s.window - s.anchor + 1)[starts]
+    lone = anchors == LAST
+    if lone.any():
+        anchors[lone] = W.sequence_hashes(hashes, s.window)[starts[lone]]
     new = np.ones(len(starts), bool)
     new[1:] = (anchors[1:] != anchors[:-1]) | (starts[1:] != starts[:-1] + 1)
     begin = np.flatnonzero(new)
@@ -101,30 +145,44 @@ def _deal(batch: pa.RecordBatch, s: Settings, shards: int) -> Iterator[tuple[int
     cuts = np.searchsorted(shard[by], np.arange(shards + 1))
     renumber[by] = np.arange(len(by)) - cuts[shard[by]]
     lengths = last - first
-    use = np.argsort(shard[which], kind="stable")
-    use_cuts = np.searchsorted(shard[which][use], np.arange(shards + 1))
-    for k in np.flatnonzero(np.diff(cuts)).tolist():
+    judged = np.flatnonzero(mine)
+    use = judged[np.argsort(shard[which[judged]], kind="stable")]
+    use_cuts = np.searchsorted(shard[which[use]], np.arange(shards + 1))
+    # Known copies need no shard of their segment: neighbouring ranges become one and go by document.
+    copy = np.flatnonzero(~mine)
+    text_of, from_, to = docs[first[copy]], at[copy], at[copy] + lengths[copy]
+    opens = np.ones(len(copy), bool)
+    opens[1:] = (text_of[1:] != text_of[:-1]) | (from_[1:] > to[:-1])
+    heads = np.flatnonzero(opens)
+    text_of, from_, to = text_of[heads], from_[heads], to[np.append(heads[1:], len(copy))[: len(heads)] - 1]
+    dealt = (W.mix(ids[text_of].astype(np.int64).view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(dealt, kind="stable")
+    copy_cuts = np.searchsorted(dealt[order], np.arange(shards + 1))
+    for k in np.flatnonzero(np.diff(cuts) + np.diff(copy_cuts)).tolist():
         segments = by[cuts[k] : cuts[k + 1]]
-        rows = use[use_cuts[k] : use_cuts[k + 1]]
-        own, copies = rows[mine[rows]], rows[~mine[rows]]
+        own, copies = use[use_cuts[k] : use_cuts[k + 1]], order[copy_cuts[k] : copy_cuts[k + 1]]
         yield k, _pack(
             b"\n".join([names[i] for i in segments.tolist()]), least[segments],
-            renumber[which[own]], at[own], owners[copies], at[copies], at[copies] + lengths[copies],
+            renumber[which[own]], at[own], ids[text_of[copies]], from_[copies], to[copies],
         )
 
 
-def _judge(blobs: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _judge(blobs: list[bytes], s: Settings, hot: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Removed word ranges (document, first, behind last) that one shard finds."""
     number: dict[bytes, int] = {}
     owners, segments, uses, out = [], [], [], []
     for blob in blobs:
         text, least, use, at, *copies = _unpack(blob, 7)
+        out.append(tuple(map(_numbers, copies)))
+        if not text:
+            continue
         here = np.array([number.setdefault(t, len(number)) for t in text.split(b"\n")], np.int64)
         least = _numbers(least)
         owners.append(least), segments.append(here)
         uses.append((here[_numbers(use)], least[_numbers(use)], _numbers(at)))
-        out.append(tuple(map(_numbers, copies)))
     names = list(number)
+    if not names:
+        return tuple(np.concatenate(x) for x in zip(*out))
     first_owner = np.full(len(names), np.iinfo(np.int64).max)
     np.minimum.at(first_owner, np.concatenate(segments), np.concatenate(owners))
     which, doc, at = (np.concatenate(x) for x in zip(*uses))
@@ -140,8 +198,8 @@ def _judge(blobs: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray, np.
     anchor = np.minimum.reduceat(
         np.where(
             np.arange(len(hashes)) + s.anchor <= np.repeat(words.first[1:], counts),
-            np.append(W.sequence_hashes(hashes, s.anchor), np.zeros(s.anchor - 1, np.uint64))[: len(hashes)],
-            np.uint64(0xFFFFFFFFFFFFFFFF),
+            np.append(_without(W.sequence_hashes(hashes, s.anchor), hot), np.zeros(s.anchor - 1, np.uint64))[: len(hashes)],
+            LAST,
         ),
         words.first[:-1],
     )
@@ -226,15 +284,16 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-total // s.shard_bytes) or 1
+    hot = docs.sparkSession.sparkContext.broadcast(_hot(rows, s, total) if shards > 1 else np.zeros(0, np.uint64))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in W.chunks(batch, "text", s.chunk_bytes):
-                for k, blob in _deal(chunk, s, shards):
+                for k, blob in _deal(chunk, s, shards, hot.value):
                     yield pa.RecordBatch.from_pydict({"shard": pa.array([k], pa.int64()), "segments": pa.array([blob], pa.binary())})
 
     def judge(group: pa.Table) -> pa.Table:
-        doc, start, end = _judge([b.as_py() for b in group.column("segments")], s)
+        doc, start, end = _judge([b.as_py() for b in group.column("segments")], s, hot.value)
         return pa.table({"doc_id": pa.array(doc), "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
 
     dealt = rows.mapInArrow(deal, "shard long, segments binary")
