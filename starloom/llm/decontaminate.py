@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import words as W
 from starloom.llm.fm_index import FMIndex
+from starloom.session import scratch_path
 
 WINDOW = 10
 #: Bytes of benchmark text that are held at a time; more makes further passes.
@@ -144,6 +145,11 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterat
         yield [tuple(r) for r in items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == b).collect()]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
@@ -156,12 +162,21 @@ def decontaminate(
     shorter than a window is one window. A null or empty text holds nothing;
     items without an id or text are skipped, items of one id are one item, an
     empty benchmark hits nothing. Columns named like a result are replaced.
-    A benchmark of several blocks takes a pass for each in the same stage.
+    A benchmark of several blocks takes a written pass for each, so that no more
+    than one block is broadcast or held by a task; at most two passes' rows are stored.
     """
     context = docs.sparkSession.sparkContext
     names = {f.name for f in FIELDS}
     out = docs.drop(*[c for c in docs.columns if c.lower() in names])
+    wanted, path = None, None
     for i, rows in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
+        if wanted is not None:
+            before, path = path, scratch_path(docs.sparkSession)
+            out.write.parquet(path)
+            out = docs.sparkSession.read.schema(out.schema).parquet(path)
+            wanted.destroy()
+            if before:
+                _delete(docs.sparkSession, before)
         wanted = context.broadcast(phrases(rows, window))
 
         def kernel(batch: pa.RecordBatch, wanted=wanted, more: bool = i > 0) -> list[pa.Array]:
