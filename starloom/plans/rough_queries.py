@@ -61,10 +61,11 @@ def _labels_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labels_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same labels through one CSV file, where the line says which is last."""
+    """The same labels through CSV files, where file and line say which is last."""
     ids, both = _flipped(spark, sf_dir)
     path = scratch_path(spark)
-    both.coalesce(1).sortWithinPartitions("_order").drop("_order").write.option("header", "true").csv(path)
+    ranges = both.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "_order", "id")
+    ranges.sortWithinPartitions("_order", "id").drop("_order").write.option("header", "true").csv(path)
     named = ids.select(F.col("id").cast("string").alias("id"))
     found = attach_labels(named, series.read_labels(spark, path), F.col("_order"))
     return found.select(F.col("id").cast("long").alias("id"), "label")
