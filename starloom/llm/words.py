@@ -116,18 +116,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def borders(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and behind last byte of every run of marked bytes within a text."""
+    wide = np.zeros(len(inside) + 2, bool)
+    wide[1:-1] = inside
+    cuts = offsets[(offsets > 0) & (offsets < len(inside))]
+    begins = inside & ~wide[:-2]
+    stops = inside & ~wide[2:]
+    begins[cuts] = inside[cuts]
+    stops[cuts - 1] = inside[cuts - 1]
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, pattern: np.ndarray = SPACED, lower: bool = False) -> Words:
     """Borders of the words: runs of the pattern's bytes within a text."""
     if lower:
         data = LOWER[data]
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = pattern[data]
-    cuts = offsets[(offsets > 0) & (offsets < len(data))]
-    begins = inside[1:-1] & ~inside[:-2]
-    stops = inside[1:-1] & ~inside[2:]
-    begins[cuts] = inside[1:-1][cuts]
-    stops[cuts - 1] = inside[1:-1][cuts - 1]
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    starts, ends = borders(pattern[data], offsets)
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
