@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, minhash, mixing, oracles, quality, spelling, substring, token_counts, token_output, url_filter, word_scoring
+from starloom.llm import chat, decontaminate, minhash, mixing, oracles, page_text, periodic, quality, spelling, substring, token_counts, token_output, url_filter, word_scoring
 from starloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +112,32 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"), slip=SLIP)
 
 
+def planted_runs(ids: pa.Array, first: np.ndarray) -> np.ndarray:
+    """Word numbers with periodic stretches in a tenth of the texts, as the contract says; a null id counts as an empty one."""
+    out = np.arange(first[-1])
+    for i, (start, n) in zip(ids.to_pylist(), zip(first[:-1].tolist(), np.diff(first).tolist())):
+        h = zlib.crc32(("" if i is None else str(i)).encode())
+        if h % 10 == 0 and n:
+            a = h // 10 % n
+            out[start + a : start + n] = start + a + np.arange(n - a) % (1 + (n - a) // (3 + h // 10 % 8))
+    return out
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(docs, order=planted_runs).withColumn("best", periodic.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n"))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -121,6 +150,8 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_token_output": op10_token_output,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_html_extraction": op13_html_extraction,
 }
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": oracles.OP1,

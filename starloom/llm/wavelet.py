@@ -106,6 +106,38 @@ class WaveletMatrix:
             at = up
         return at
 
+    def less(self, low: np.ndarray, high: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """How many numbers of a range are smaller than a value of as many bits."""
+        count = np.zeros(len(low), np.int64)
+        for level, plane in enumerate(self.planes):
+            one = self._bit(values, level) == 1
+            a, b = plane.rank(low), plane.rank(high)
+            count += np.where(one, (high - b) - (low - a), 0)
+            low, high = np.where(one, self.zeros[level] + a, low - a), np.where(one, self.zeros[level] + b, high - b)
+        return count
+
+    def nth_of(self, low: np.ndarray, high: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The n-th smallest number of a range, counted from 0; it must exist."""
+        out = np.zeros(len(low), np.int64)
+        for level, plane in enumerate(self.planes):
+            a, b = plane.rank(low), plane.rank(high)
+            none = (high - b) - (low - a)
+            one = n >= none
+            n = np.where(one, n - none, n)
+            low, high = np.where(one, self.zeros[level] + a, low - a), np.where(one, self.zeros[level] + b, high - b)
+            out = out << 1 | one
+        return out
+
+    def successor(self, low: np.ndarray, high: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The smallest number of a range that is not smaller than a value, -1 if there is none."""
+        low, high, values = (np.asarray(x, np.int64) for x in (low, high, values))
+        fits = (values >> len(self.planes)) == 0
+        n = np.where(fits, self.less(low, high, np.where(fits, values, 0)), high - low)
+        out = np.full(len(low), -1, np.int64)
+        some = n < high - low
+        out[some] = self.nth_of(low[some], high[some], n[some])
+        return out
+
     def all(self) -> np.ndarray:
         """The whole sequence: from the last plane up, each level's order is undone."""
         kind = np.uint16 if len(self.planes) <= 16 else np.uint32
