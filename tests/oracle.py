@@ -28,6 +28,8 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         if pd.api.types.is_float_dtype(df[c]):
             df[c] = df[c].astype("float64")
+            if df[c].isna().any() and (df[c].dropna() % 1 == 0).all():
+                df[c] = df[c].astype("Int64")  # whole numbers with nulls, which one side reads as floats
         elif pd.api.types.is_integer_dtype(df[c]):
             df[c] = df[c].astype("Int64")
         else:
