@@ -145,3 +145,64 @@ OP9 = r"""
     CAST(sum(length(escaped) + 7 + CASE WHEN head THEN 7 + length(name) ELSE 0 END) - 1 AS BIGINT) AS formatted_chars
   FROM o GROUP BY conv_id
 """
+
+#: CRC-32 by bytes, from a table that the rule makes; ``t`` is that table.
+_CRC_TABLE = """SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def _crc(text: str) -> str:
+    code = f"hex(encode({text}))"
+    byte = f"list_transform(range(0, length({code}) // 2), lambda k: CAST('0x' || substr({code}, CAST(2 * k + 1 AS INTEGER), 2) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {byte}), lambda a, b: xor(t[CAST((xor(a, b) & 255) + 1 AS INTEGER)], a >> 8)), 4294967295)"
+
+
+#: Near words share what is left without one letter, or one of them is what is left.
+OP11 = rf"""
+  WITH RECURSIVE crc AS ({_CRC_TABLE}),
+  r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+  u AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+  h AS (SELECT run, n, {_crc("concat(doc_id, ':', run)")} AS h FROM u, crc),
+  s AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+  w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+  d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+  p AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT d.word, w.word FROM d JOIN w ON d.rest = w.word UNION SELECT w.word, d.word FROM d JOIN w ON d.rest = w.word),
+  b AS (SELECT a, b, n, count(*) OVER (PARTITION BY a) AS near, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS nth FROM p JOIN w ON b = word),
+  f AS (SELECT w.word, w.n, coalesce(near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.b END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+    FROM w LEFT JOIN b ON b.a = w.word AND nth = 1),
+  c AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL),
+  e AS (SELECT word, root FROM c WHERE root NOT IN (SELECT word FROM f WHERE form IS NOT NULL))
+  SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN e ON e.word = f.word
+"""
+
+#: Stretches of equal words at one distance; one whose period is a multiple of another run's around it goes.
+OP12 = rf"""
+  WITH crc AS ({_CRC_TABLE}),
+  h AS (SELECT doc_id, w, {_crc("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM ({_words("coalesce(text, '')", _SPACED)}), crc),
+  g AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS plant, (h // 10) % greatest(1, len(w)) AS a, 3 + (h // 10) % 8 AS k FROM h),
+  d AS (SELECT doc_id, len(w) AS n, CASE WHEN plant THEN list_transform(range(len(w)), lambda i: w[CASE WHEN i < a THEN i
+    ELSE a + (i - a) % (1 + (len(w) - a) // k) END + 1]) ELSE w END AS w FROM g),
+  x AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS pos FROM d),
+  y AS (SELECT x.doc_id, x.pos, y.pos - x.pos AS p FROM x JOIN x y ON x.doc_id = y.doc_id AND x.word = y.word AND y.pos > x.pos AND 3 * (y.pos - x.pos) <= x.n),
+  z AS (SELECT doc_id, p, min(pos) AS start, count(*) + p AS length FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, p ORDER BY pos) AS island FROM y)
+    GROUP BY doc_id, p, island HAVING count(*) + p >= greatest(24, 3 * p)),
+  r AS (SELECT doc_id, start, CAST(length AS BIGINT) AS length, p AS period FROM z WHERE NOT EXISTS (SELECT 1 FROM z v
+    WHERE v.doc_id = z.doc_id AND v.p < z.p AND z.p % v.p = 0 AND v.start <= z.start AND v.start + v.length >= z.start + z.length)),
+  s AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+  b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS nth FROM r),
+  o AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS pos FROM r),
+  k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept FROM x ANTI JOIN o USING (doc_id, pos) GROUP BY doc_id)
+  SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+    sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+  FROM d LEFT JOIN s USING (doc_id) LEFT JOIN b ON b.doc_id = d.doc_id AND nth = 1 LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+#: The article of these pages: ``<b>`` stands inside a block, other marks around blocks.
+OP13 = r"""
+  WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS article FROM pages),
+  t AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_replace(article, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS raw FROM a),
+  d AS (SELECT page_id, url, replace(replace(replace(replace(raw, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text FROM t)
+  SELECT page_id, url, text, length(text) AS n_chars FROM d
+"""

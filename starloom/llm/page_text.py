@@ -68,16 +68,16 @@ def host_of(url: str | None) -> str:
 def _aside(parents: list[int], labels: list[str]) -> tuple[list[bool], list[bool]]:
     """Which nodes lie beside the article, and which in an article element.
 
-    A part that holds an article is not beside it, whatever its name.
+    A part that holds all articles is not beside them, whatever its name.
     """
     kinds = [kind(label) for label in labels]
-    holds = [False] * len(labels)
+    holds = [0] * len(labels)
     for i in range(len(labels) - 1, 0, -1):
-        holds[parents[i]] |= holds[i] or kinds[i] in ("article", "main")
+        holds[parents[i]] += holds[i] + (kinds[i] in ("article", "main"))
     aside, within = [False] * len(labels), [False] * len(labels)
     for i in range(1, len(labels)):
         above = parents[i]
-        beside = not holds[i] and (kinds[i] == "aside" or (kinds[i] == "head" and not within[above]))
+        beside = not (0 < holds[i] == holds[0]) and (kinds[i] == "aside" or (kinds[i] == "head" and not within[above]))
         aside[i] = aside[above] or beside
         within[i] = not aside[i] and (within[above] or kinds[i] == "article")
     if not any(within):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 _TOKEN = re.compile(
@@ -38,8 +39,10 @@ ASIDE_NAMES = frozenset(
 #: Names of parts above the article; inside it they head the article.
 HEAD_NAMES = frozenset("header masthead topbar".split())
 
-#: Children of a node beyond which equal labels fall together, and the greatest depth (deeper elements belong to the node above).
+#: Children of a node beyond which equal labels fall together and, four times as many, all labels of one kind;
+#: and the greatest depth (deeper elements belong to the node above). This bounds trees, not texts.
 WIDE, DEEP = 64, 200
+_PLAIN = {"aside": "aside", "head": "header", "article": "article", "main": "main", "": "div"}
 
 
 @dataclass
@@ -78,7 +81,8 @@ def parse(text: str) -> Page:
     parents, labels, blocks = page.parents, page.labels, page.blocks
     children: list[list[int]] = [[]]
     newest: list[dict[str, int]] = [{}]
-    depth = [0]
+    depth, places = [0], [0]
+    opened: Counter[str] = Counter()
     stack: list[tuple[str, int]] = [("body", 0)]
     cursor = {0: 0}
     buffer: list[str] = []
@@ -96,29 +100,35 @@ def parse(text: str) -> Page:
 
     def enter(tag: str, label: str) -> None:
         above = stack[-1][1]
+        opened[tag] += 1
         if depth[above] >= DEEP:
             stack.append((tag, above))
             return
         same = children[above]
-        start = cursor[above]
-        node = next((c for c in same[start:] if labels[c] == label), -1) if start < len(same) else -1
-        if node < 0 and len(same) >= WIDE:
+        if len(same) >= 4 * WIDE and label not in newest[above]:
+            label = _PLAIN[kind(label)]
+        if len(same) < WIDE:
+            node = next((c for c in same[cursor[above] :] if labels[c] == label), -1)
+        else:
             node = newest[above].get(label, -1)
         if node < 0:
             node = len(labels)
-            parents.append(above), labels.append(label), children.append([]), newest.append({}), depth.append(depth[above] + 1)
+            parents.append(above), labels.append(label), children.append([]), newest.append({})
+            depth.append(depth[above] + 1), places.append(len(same))
             same.append(node)
             newest[above][label] = node
-        place = same.index(node)
-        cursor[above] = place if tag in ITEMS or "|" in label else place + 1
+        cursor[above] = places[node] + (tag not in ITEMS and "|" not in label)
         cursor[node] = 0
         stack.append((tag, node))
 
     def close(tag: str, limits: tuple[str, ...]) -> None:
         """Leaves the nearest open element of a name, unless one of the limits is nearer."""
+        if not opened[tag]:
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] == tag:
                 flush()
+                opened.subtract(t for t, _ in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in limits:
@@ -155,7 +165,7 @@ def parse(text: str) -> Page:
             elif tag not in INLINE:
                 in_link = False
                 close(tag, ())
-            elif any(t == tag for t, _ in stack[1:]):
+            else:
                 close(tag, ("p", "div", "td", "li"))
             continue
         label = _label(tag, found[3])

@@ -161,4 +161,7 @@ ORACLES: dict[str, str] = {
     "op5_quality_rules": oracles.OP5,
     "op7_url_filter": oracles.OP7,
     "op9_chat_format": oracles.OP9,
+    "op11_spelling_variants": oracles.OP11,
+    "op12_periodic_runs": oracles.OP12,
+    "op13_html_extraction": oracles.OP13,
 }
