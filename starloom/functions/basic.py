@@ -57,7 +57,7 @@ def with_next(s: Series) -> Series:
     """The following value and the step to it."""
     if "_d" in s.cold.columns:
         return s
-    return s.windowed(lambda w: {"_next": F.lead("flux").over(w)}).with_columns(_d=F.col("_next") - flux())
+    return s.windowed(lambda w: {"_next": w.ahead("flux")}).with_columns(_d=F.col("_next") - flux())
 
 
 def moment_columns() -> list[Column]:
@@ -207,8 +207,8 @@ def strike_columns() -> list[Column]:
 def prepare_peaks(s: Series) -> Series:
     return with_next(s).have(_n=F.count(F.lit(1))).windowed(
         lambda w: {
-            **{f"_before{k}": F.max("flux").over(w.rowsBetween(-k, -1)) for k in PEAK_SUPPORT},
-            **{f"_after{k}": F.max("flux").over(w.rowsBetween(1, k)) for k in PEAK_SUPPORT},
+            **{f"_before{k}": w.frame(F.max("flux"), -k, -1) for k in PEAK_SUPPORT},
+            **{f"_after{k}": w.frame(F.max("flux"), 1, k) for k in PEAK_SUPPORT},
         }
     )
 

@@ -62,7 +62,7 @@ def permutation_entropy(s: Series) -> DataFrame:
     later member, the comparisons of a shorter tuple are a prefix.
     """
     top = max(PERMUTATION_DIMENSIONS)
-    s = s.windowed(lambda w: {f"_x{k}": F.lead("flux", k).over(w) for k in range(1, top)})
+    s = s.windowed(lambda w: {f"_x{k}": w.ahead("flux", k) for k in range(1, top)})
     s = s.with_columns(_x0=flux())
     code, patterns = F.lit(0).cast("long"), []
     bit = 1
@@ -159,7 +159,7 @@ def template_entropies(s: Series, tile: int = TILE) -> DataFrame:
     key = s.keys[0]
     kind = s.cold.schema[key].dataType.simpleString()
     s = s.with_stats(_n=F.count(F.lit(1)), _std=F.stddev_pop(flux()))
-    s = s.windowed(lambda w: {"_y": F.lead("flux", 1).over(w), "_z": F.lead("flux", 2).over(w)})
+    s = s.windowed(lambda w: {"_y": w.ahead("flux", 1), "_z": w.ahead("flux", 2)})
     rows = s.rows().select(key, "pos", "flux", "_y", "_z", "_n", "_std")
 
     def cut(name: str, length: int) -> DataFrame:

@@ -25,7 +25,7 @@ def _acf(s: Series, max_lag: int) -> DataFrame:
     """
     s = s.with_stats(_n=F.count(F.lit(1)), _mean=F.avg(flux()), _var=F.var_pop(flux()))
     s = s.with_columns(_c=flux() - F.col("_mean"))
-    s = s.windowed(lambda w: {f"_l{k}": F.lead("_c", k).over(w) for k in range(1, max_lag + 1)})
+    s = s.windowed(lambda w: {f"_l{k}": w.ahead("_c", k) for k in range(1, max_lag + 1)})
     sums = s.per_key(
         F.max("_n").alias("_n"),
         F.max("_var").alias("_var"),
@@ -92,7 +92,7 @@ PRODUCT_LAGS = (1, 2, 3)
 
 def prepare_lagged_products(s: Series) -> Series:
     steps = sorted({k for l in PRODUCT_LAGS for k in (l, 2 * l)})
-    return s.windowed(lambda w: {f"_lead{k}": F.lead("flux", k).over(w) for k in steps})
+    return s.windowed(lambda w: {f"_lead{k}": w.ahead("flux", k) for k in steps})
 
 
 def lagged_product_columns() -> list[Column]:
@@ -121,7 +121,7 @@ def ar_coefficients(s: Series, order: int = AR_ORDER) -> DataFrame:
     remains.
     """
     s = s.with_stats(_mean=F.avg(flux())).with_columns(_c=flux() - F.col("_mean"))
-    s = s.windowed(lambda w: {f"_g{k}": F.lag("_c", k).over(w) for k in range(1, order + 1)})
+    s = s.windowed(lambda w: {f"_g{k}": w.back("_c", k) for k in range(1, order + 1)})
     s = s.where(F.col(f"_g{order}").isNotNull())
     names = ["_one", *[f"_g{k}" for k in range(1, order + 1)], "_c"]
     s = s.with_columns(_one=F.lit(1.0))

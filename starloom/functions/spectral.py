@@ -297,20 +297,20 @@ def cwt_peaks(s: Series) -> DataFrame:
         offsets = range(-half, half)
         # a kernel of even length is centred between two samples
         weights = F.array(*[F.lit(float(_ricker_at(j + 0.5, width))) for j in offsets])
-        s = s.windowed(lambda w, h=half: {"_frame": F.collect_list("flux").over(w.rowsBetween(-h, h - 1))})
+        s = s.windowed(lambda w, h=half: {"_frame": w.frame(F.collect_list("flux"), -h, h - 1)})
         missing = F.greatest(F.lit(half) - F.col("pos"), F.lit(0))
         part = F.slice(weights, (missing + 1).cast("int"), F.size("_frame"))
         value = F.aggregate(F.zip_with("_frame", part, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
         s = s.with_columns(**{f"_c{width}": value}).drop("_frame")
         c = f"_c{width}"
-        s = s.windowed(lambda w, c=c: {"_left": F.lag(c).over(w), "_right": F.lead(c).over(w)})
+        s = s.windowed(lambda w, c=c: {"_left": w.back(c), "_right": w.ahead(c)})
         inner = F.col("_left").isNotNull() & F.col("_right").isNotNull()
         maximum = inner & (F.col(c) > F.col("_left")) & (F.col(c) > F.col("_right"))
         s = s.with_columns(**{f"_m{width}": maximum}).drop("_left", "_right", c)
         if width > 1:
             below = f"_m{width - 1}"
             s = s.windowed(
-                lambda w, b=below: {"_near": F.max(F.col(b).cast("int")).over(w.rowsBetween(-1, 1))}
+                lambda w, b=below: {"_near": w.frame(F.max(F.col(b).cast("int")), -1, 1)}
             )
             s = s.with_columns(**{f"_m{width}": F.col(f"_m{width}") & (F.col("_near") == 1)}).drop("_near")
     return s.per_key(*[F.count_if(F.col(f"_m{n}")).alias(feature("number_cwt_peaks", n=n)) for n in CWT_PEAK_WIDTHS])

@@ -114,7 +114,7 @@ corridor_changes = Pass(prepare_corridors, corridor_columns)
 
 def drift(s: Series) -> DataFrame:
     """Cubic fit of the mean step per quantile bin of the value, and its largest root."""
-    s = s.windowed(lambda w: {"_next": F.lead("flux").over(w)})
+    s = s.windowed(lambda w: {"_next": w.ahead("flux")})
     s = s.with_columns(_from=F.when(F.col("_next").isNotNull(), flux()), _d=F.col("_next") - flux())
     s = s.with_quantiles("_from", **{f"_e{i}": i / DRIFT_BINS for i in range(1, DRIFT_BINS)})
     above = [F.when(flux() > F.col(f"_e{i}"), 1).otherwise(0) for i in range(1, DRIFT_BINS)]

@@ -77,7 +77,7 @@ def ranked_threats(df: DataFrame, order: list[str]) -> DataFrame:
 
 def transitions(s: Series, state: str) -> DataFrame:
     """Counts and row-wise shares of successive states; needs ``located(1)``."""
-    steps = s.windowed(lambda w: {"to_state": F.lead(state).over(w)}).rows().filter("to_state is not null")
+    steps = s.windowed(lambda w: {"to_state": w.ahead(state)}).rows().filter("to_state is not null")
     counts = steps.groupBy(F.col(state).alias("from_state"), "to_state").agg(F.count(F.lit(1)).alias("n"))
     row = Window.partitionBy("from_state")
     return counts.withColumn("probability", F.col("n") / F.sum("n").over(row))

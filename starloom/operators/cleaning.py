@@ -112,9 +112,9 @@ def interpolate_gaps(s: Series, max_gap: float = 0.5) -> Series:
     spaced = replace(s.map(merged), order=("time",)).located(halo=1)
     spaced = spaced.windowed(
         lambda w: {
-            "_t1": F.lead("time").over(w),
-            "_f1": F.lead("flux").over(w),
-            "_e1": F.lead("flux_err").over(w),
+            "_t1": w.ahead("time"),
+            "_f1": w.ahead("flux"),
+            "_e1": w.ahead("flux_err"),
         }
     ).with_columns(_dt=F.col("_t1") - F.col("time"))
     spaced = spaced.with_stats(_t0=F.min("time"), _gap=F.max("_dt")).with_quantiles("_dt", _step=0.5)
@@ -161,7 +161,7 @@ def _own_rows(df: DataFrame) -> DataFrame:
 
 
 def _with_gap_flag(s: Series, max_gap: float) -> Series:
-    steps = s.located(halo=1).windowed(lambda w: {"_dt": F.lead("time").over(w) - F.col("time")})
+    steps = s.located(halo=1).windowed(lambda w: {"_dt": w.ahead("time") - F.col("time")})
     flagged = steps.with_stats(_widest=F.max("_dt"))
     flagged = flagged.with_columns(_has_gap=F.coalesce(F.col("_widest") > max_gap, F.lit(False)))
     return flagged.map(lambda df: _own_rows(df).drop("_dt", "_widest", "pos", "_own", "_block"))
@@ -198,7 +198,7 @@ def detrend(s: Series, window_length: int = 101, polyorder: int = 3) -> Series:
         for k, c in enumerate(columns)
     }
     s = s.with_stats(**head, **tail)
-    s = s.windowed(lambda w: {"_frame": F.collect_list("flux").over(w.rowsBetween(-half, half))})
+    s = s.windowed(lambda w: {"_frame": w.frame(F.collect_list("flux"), -half, half)})
 
     def at_end(prefix: str, place: Column) -> Column:
         terms = [F.col(f"{prefix}{k}") * F.get(c, place.cast("int")) for k, c in enumerate(columns)]

@@ -67,7 +67,7 @@ def rule_alerts(samples: DataFrame, order: list[str], rules: dict[str, tuple[str
 
 def increases(s: Series, counter: str) -> Series:
     """Growth of a counter since the sample before; a drop is a restart from zero."""
-    s = s.windowed(lambda w: {"_last": F.lag(counter).over(w)})
+    s = s.windowed(lambda w: {"_last": w.back(counter)})
     grown = F.when(F.col(counter) >= F.col("_last"), F.col(counter) - F.col("_last")).otherwise(F.col(counter))
     return s.with_columns(increase=F.when(F.col("_last").isNotNull(), grown)).drop("_last")
 

@@ -18,7 +18,6 @@ Both plans give the same rows; nothing is sampled or capped.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -32,6 +31,33 @@ BLOCK_ROWS = 1_000_000
 MAX_HOT = 200_000
 
 
+class Neighbours:
+    """Rows around a row by position, at most ``halo`` away."""
+
+    def __init__(self, halo: int):
+        self.halo = halo
+        self.built: dict[str, Callable[[WindowSpec], Column]] = {}
+
+    def _add(self, reach: int, build: Callable[[WindowSpec], Column]) -> Column:
+        if reach > self.halo:
+            raise ValueError(f"a frame reaches {reach} rows, the halo has {self.halo}; locate the series with more")
+        name = f"_near{len(self.built)}"
+        self.built[name] = build
+        return F.col(name)
+
+    def back(self, column: Column | str, rows: int = 1) -> Column:
+        """The value so many rows before, null where there is none."""
+        return self._add(abs(rows), lambda spec: F.lag(column, rows).over(spec))
+
+    def ahead(self, column: Column | str, rows: int = 1) -> Column:
+        """The value so many rows behind, null where there is none."""
+        return self._add(abs(rows), lambda spec: F.lead(column, rows).over(spec))
+
+    def frame(self, aggregate: Column, first: int, last: int) -> Column:
+        """An aggregate over the rows from ``first`` to ``last``, both counted from the row (0)."""
+        return self._add(max(abs(first), abs(last)), lambda spec: aggregate.over(spec.rowsBetween(first, last)))
+
+
 @dataclass(frozen=True)
 class Series:
     """Rows of ordinary keys (``cold``) and of oversized keys (``hot``)."""
@@ -106,21 +132,28 @@ class Series:
         hot = hot.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
         return replace(self, cold=cold, hot=materialise(hot), halo=halo)
 
-    def windowed(self, make: Callable[[WindowSpec], dict[str, Column]]) -> Series:
-        """Add ordered-window columns; needs ``located`` with a wide enough halo.
+    def windowed(self, make: Callable[[Neighbours], dict[str, Column]]) -> Series:
+        """Add columns made of neighbouring rows; needs ``located`` with a wide enough halo.
 
-        A frame that reaches past the halo would see less in the hot plan, so
-        it is an error in both.
+        ``make`` gets the only frames there are: a number of rows back, ahead
+        or around the row. One that reaches past the halo is an error in both
+        plans, and so is a window of the caller's own, which would see copied
+        rows in the hot plan. Values over all rows before belong to
+        ``with_running``, those of the whole key to ``with_stats``.
         """
-        columns = make(Window.partitionBy(*self.keys).orderBy("pos"))
+        near = Neighbours(self.halo)
+        columns = make(near)
         for name, column in columns.items():
-            if (far := reach(column)) > self.halo:
-                raise ValueError(f"{name} reaches {far} rows, the halo has {self.halo}; locate the series with more")
-        cold = self.cold.withColumns(columns)
-        if self.hot is None:
-            return replace(self, cold=cold)
-        spec = Window.partitionBy(*self.keys, "_block").orderBy("pos")
-        return replace(self, cold=cold, hot=self.hot.withColumns(make(spec)))
+            if " OVER (" in str(column).upper():
+                raise ValueError(f"{name} has a window of its own; build it with back, ahead or frame")
+
+        def add(df: DataFrame, *keys: str) -> DataFrame:
+            spec = Window.partitionBy(*keys).orderBy("pos")
+            frames = {n: build(spec) for n, build in near.built.items()}
+            return df.withColumns(frames).withColumns(columns).drop(*frames)
+
+        hot = None if self.hot is None else add(self.hot, *self.keys, "_block")
+        return replace(self, cold=add(self.cold, *self.keys), hot=hot)
 
     def with_running(self, **values: Column) -> Series:
         """Add inclusive running sums in position order; needs ``located``."""
@@ -156,17 +189,6 @@ class Series:
         return self.rows().groupBy(*self.keys).agg(*aggregates)
 
 
-def reach(column: Column) -> float:
-    """Rows that the ordered windows of an expression look back or ahead, infinity for frames without an end."""
-    text = str(column)
-    steps = [abs(int(n)) for n in re.findall(r", (-?\d+), [^,()]*, (?:true|false)\) OVER \(", text)]
-    for frame in re.findall(r"ROWS BETWEEN (.+?) AND (.+?)\)", text):
-        for edge in frame:
-            number = re.search(r"-?\d+", edge)
-            steps.append(abs(int(number[0])) if number else 0 if "CURRENT" in edge else float("inf"))
-    return max(steps, default=0)
-
-
 def open_series(
     df: DataFrame, keys: list[str], order: list[str], block_rows: int | None = None
 ) -> Series:

@@ -44,11 +44,28 @@ def _resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _s1(spark, sf_dir).located(1).windowed(lambda w: {"dt": F.lead("time").over(w) - F.col("time")})
+    s = _s1(spark, sf_dir).located(1).windowed(lambda w: {"dt": w.ahead("time") - F.col("time")})
     s = s.with_quantiles("dt", cadence=0.5)
     return rounded(s.per_key(F.max("cadence").alias("cadence"), F.max("dt").alias("widest_gap")), 7)
 
 
+def _families(block_rows: int | None = None):
+    """Every kind of neighbour frame, running value and total, per sample."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = bindings.event_series(spark, sf_dir).withColumn("flux", F.col("flux") / F.pi())
+        s = open_series(rows, ["id"], bindings.S1_ORDER, block_rows).located(7).windowed(lambda w: {
+            "before": w.back("flux", 7), "after": w.ahead("flux", 5), "step": w.ahead("time") - w.back("time"),
+            "near_sum": w.frame(F.sum("flux"), -7, 7), "near_low": w.frame(F.min("flux"), -3, 0), "near_mean": w.frame(F.avg("flux"), 1, 6),
+            "near_first": w.frame(F.first("event_id"), -5, 2), "near_n": w.frame(F.count(F.lit(1)), -7, 7),
+        })
+        s = s.with_running(so_far=F.col("flux")).with_latest(top=F.col("flux")).with_stats(n=F.count(F.lit(1)))
+        s = s.with_columns(row_number=F.col("pos") + 1, percent_rank=F.col("pos") / F.greatest(F.col("n") - 1, F.lit(1)))
+        return rounded(s.rows().drop("time", "flux", "flux_err", "pos"), 6)
+
+    return query
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bindings.event_series(spark, sf_dir).withColumn("flux", F.col("flux") / F.pi())
     return rounded(cleaning.quality_metrics(open_series(rows, ["id"], bindings.S1_ORDER)), 6)
@@ -125,6 +142,8 @@ QUERIES = {
     "cadence": _cadence,
     "interpolate_gaps": _resampled,
     "detrend": lambda spark, sf_dir: rounded(cleaning.detrend(_s2(spark, sf_dir)).rows(), 4),
+    "windowed_families": _families(),
+    "windowed_families_split": _families(16),
     "quality_metrics": _quality,
     "admission": lambda spark, sf_dir: cleaning.admission(bindings.event_series(spark, sf_dir)),
     "rejected": lambda spark, sf_dir: cleaning.rejected(bindings.event_series(spark, sf_dir), 65),
@@ -155,6 +174,16 @@ ORACLES = {
         UNION ALL SELECT id, time, flux / pi(), flux_err / pi() FROM v WHERE id IN (SELECT id FROM k GROUP BY id HAVING max(gap) <= {GAP_DAYS}))
       SELECT id, {r('time', 'time', 5)}, {r('flux', 'flux', 5)}, {r('flux_err', 'flux_err', 5)} FROM u""",
     "detrend": f"WITH {V2}, {_detrended('v')} {_s2_rows('t', 'flux', 'flux_err', 4)}",
+    "windowed_families": f"""WITH v AS (SELECT * REPLACE (flux / pi() AS flux) FROM ({bindings.S1_SQL}))
+      SELECT id, event_id, {r('lag(flux, 7) OVER w', 'before')}, {r('lead(flux, 5) OVER w', 'after')},
+        {r('lead(time) OVER w - lag(time) OVER w', 'step')}, {r('sum(flux) OVER (w ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING)', 'near_sum')},
+        {r('min(flux) OVER (w ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)', 'near_low')},
+        {r('avg(flux) OVER (w ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING)', 'near_mean')},
+        first_value(event_id) OVER (w ROWS BETWEEN 5 PRECEDING AND 2 FOLLOWING) AS near_first,
+        count(*) OVER (w ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS near_n,
+        {r('sum(flux) OVER (w ROWS UNBOUNDED PRECEDING)', 'so_far')}, {r('max(flux) OVER (w ROWS UNBOUNDED PRECEDING)', 'top')},
+        count(*) OVER (PARTITION BY id) AS n, row_number() OVER w AS row_number, {r('percent_rank() OVER w', 'percent_rank')}
+      FROM v WINDOW w AS (PARTITION BY id ORDER BY time, event_id)""",
     "quality_metrics": f"""WITH a AS (SELECT * REPLACE (flux / pi() AS flux), {VALID} AS ok FROM ({bindings.S1_SQL})),
       m AS (SELECT *, median(flux) OVER (PARTITION BY id) AS med FROM a WHERE ok),
       q AS (SELECT id, count(*) AS n_points, {METRICS} FROM m GROUP BY id),
@@ -172,3 +201,4 @@ ORACLES = {
 }
 ORACLES["sigma_clip_split"] = ORACLES["sigma_clip"]
 ORACLES["preprocess_split"] = ORACLES["preprocess"]
+ORACLES["windowed_families_split"] = ORACLES["windowed_families"]

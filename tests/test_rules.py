@@ -2,13 +2,14 @@
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom import session
 from starloom.functions.registry import extract
 from starloom.functions import registry
 from starloom.operators import assess, cleaning, joins, selection
-from starloom.operators.series import open_series, reach
+from starloom.operators.series import open_series
 
 
 def long_series(spark, n=2500):
@@ -18,15 +19,34 @@ def long_series(spark, n=2500):
 @pytest.mark.parametrize("block", [100_000, 300])
 def test_windows_past_the_halo_are_refused(spark, block):
     s = open_series(long_series(spark), ["id"], ["time"], block).located(200)
-    with pytest.raises(ValueError, match="reaches 500"):
-        s.windowed(lambda w: {"far": F.lead("flux", 500).over(w)})
-    assert reach(F.sum("flux").over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("pos").rowsBetween(-7, 3))) == 7
+    own = Window.partitionBy("id").orderBy("pos")
+    for make in (
+        lambda w: {"far": w.ahead("flux", 500)},
+        lambda w: {"far": w.frame(F.sum("flux"), -201, 0)},
+        lambda w: {"far": F.sum("flux").over(own)},
+        lambda w: {"far": F.col("flux") - F.percent_rank().over(own)},
+        lambda w: {"far": F.sum("flux").over(own.rangeBetween(-500, 0))},
+    ):
+        with pytest.raises(ValueError, match="reaches|window of its own"):
+            s.windowed(make)
+
+
+def test_frames_do_not_depend_on_the_plan(spark):
+    def values(block):
+        s = open_series(long_series(spark, 3000), ["id"], ["time"], block).located(10).windowed(lambda w: {
+            "sum": w.frame(F.sum("flux"), -10, 10), "first": w.frame(F.first("flux"), -10, 0), "list": w.frame(F.collect_list("flux"), 0, 3),
+            "slope": w.ahead("flux", 10) - w.back("flux", 10), "flux": -F.col("flux"),
+        })
+        s = s.with_running(total=F.col("flux")).with_columns(number=F.col("pos") + 1)
+        return sorted((tuple(r) for r in s.rows().select("time", "sum", "first", "list", "slope", "flux", "total", "number").collect()))
+
+    assert values(None) == values(1000) == values(37)
 
 
 @pytest.mark.parametrize("block", ["100000", "300"])
 def test_families_that_look_far_get_their_halo(spark, block):
     def far(s):
-        return s.windowed(lambda w: {"_far": F.lead("flux", 500).over(w)}).per_key(F.count("_far").alias("n_far"))
+        return s.windowed(lambda w: {"_far": w.ahead("flux", 500)}).per_key(F.count("_far").alias("n_far"))
 
     registry.register("far", far, halo=500)
     spark.conf.set("spark.starloom.blockRows", block)

@@ -23,7 +23,7 @@ def test_positions_lags_and_running_sums(skewed, block_rows):
     pdf, df = skewed
     s = open_series(df, ["k"], ["t"], block_rows).located(halo=3)
     assert (s.hot is None) == (block_rows is None)
-    s = s.windowed(lambda w: {"before": F.lag("v", 3).over(w), "after": F.lead("v", 2).over(w)})
+    s = s.windowed(lambda w: {"before": w.back("v", 3), "after": w.ahead("v", 2)})
     s = s.with_running(run=F.col("v")).with_latest(top=F.col("v")).with_stats(n=F.count(F.lit(1)))
     got = s.rows().toPandas().sort_values(["k", "t"]).reset_index(drop=True)
     want = pdf.sort_values(["k", "t"]).reset_index(drop=True)
@@ -55,7 +55,7 @@ def test_copies_of_one_row_are_split(spark):
 
 def test_halo_may_be_wider_than_a_block(spark):
     df = spark.range(300).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("t"))
-    s = open_series(df, ["k"], ["t"], 20).located(halo=60).windowed(lambda w: {"far": F.lead("t", 60).over(w)})
+    s = open_series(df, ["k"], ["t"], 20).located(halo=60).windowed(lambda w: {"far": w.ahead("t", 60)})
     got = s.rows().toPandas().sort_values("t")
     assert np.allclose(got.far.dropna(), np.arange(60, 300))
 
