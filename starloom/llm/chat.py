@@ -8,7 +8,7 @@ backslashes are doubled, so the turns can be read back exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEAD, END, BETWEEN = "### ", "</turn>", "\n"
@@ -37,89 +37,69 @@ def format_chats(
 
     Turns are in order of ``turn`` (null first), ties by role and text; equal
     rows are turns of their own. A null role or text is empty. A conversation
-    is one text, so its rows come together in one row of the result. The mask
+    is one text, so its rows come together in one row of the result; roles,
+    texts and numbers of turns may be of any size, the work is linear in them. The mask
     has a span (start, length, in characters) for each turn of a trained role,
     its escaped text without marks.
     """
-    turns = rows.groupBy(F.col(conv_id).alias("conv_id")).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
-                    F.coalesce(F.col(text), F.lit("")).alias("text"),
-                )
-            )
-        ).alias("turns")
+    turns = rows.select(
+        F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    # Where a block begins, and where the next one does.
-    begins = turns.withColumn(
-        "begins",
-        F.expr("filter(sequence(0, size(turns) - 1), i -> i = 0 or turns[i].role <> turns[greatest(i - 1, 0)].role)"),
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    until_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = turns.select(
+        "conv_id", "role", escape(F.col("text")).alias("text"), F.row_number().over(in_order).alias("place"),
+        (~F.col("role").eqNullSafe(F.lag("role").over(in_order))).alias("first"),
     )
-    parted = begins.withColumn(
-        "blocks",
-        F.expr(
-            """transform(begins, (b, k) -> named_struct(
-                 'role', turns[b].role,
-                 'texts', transform(slice(turns, b + 1, if(k + 1 < size(begins), begins[least(k + 1, size(begins) - 1)], size(turns)) - b), t -> t.text)))"""
-        ),
+    # A new block has its head before the text, and a line end before that.
+    head = F.concat(F.when(F.col("place") > 1, F.lit(BETWEEN)).otherwise(F.lit("")), F.lit(HEAD), escape_role(F.col("role")), F.lit(": "))
+    parts = parts.select(
+        "conv_id", "place", F.when(F.col("first"), head).otherwise(F.lit("")).alias("head"), "text", F.length("text").alias("length"),
+        F.col("role").isin(*trained).alias("trained"),
     )
-    escaped = parted.select(
+    ends = F.sum(F.length("head") + F.col("length") + len(END)).over(until_here.orderBy("place"))
+    parts = parts.withColumn("start", (ends - len(END) - F.col("length")).cast("int"))
+    chats = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("place", "head", "text", "length", "trained", "start"))).alias("parts"))
+    return chats.select(
         "conv_id",
-        F.transform(
-            "blocks",
-            lambda b: F.struct(
-                b["role"].isin(*trained).alias("trained"),
-                F.concat(F.lit(HEAD), escape_role(b["role"]), F.lit(": ")).alias("head"),
-                F.transform(b["texts"], escape).alias("texts"),
-            ),
-        ).alias("blocks"),
-    )
-    block_text = F.transform("blocks", lambda b: F.concat(b["head"], F.array_join(F.transform(b["texts"], lambda t: F.concat(t, F.lit(END))), "")))
-    pieces = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.transform(
-                b["texts"],
-                lambda t, i: F.struct(
-                    # Characters before the text since the last turn's text: marks and a new block's head.
-                    F.when(i == 0, F.length(b["head"]) + len(BETWEEN)).otherwise(F.lit(0)).alias("lead"),
-                    F.length(t).alias("length"), b["trained"].alias("trained"),
-                ),
-            ),
-        )
+        F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["text"], F.lit(END))), "").alias("formatted"),
+        F.transform(F.filter("parts", lambda p: p["trained"]), lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"))).alias("loss_spans"),
     )
-    spans = F.aggregate(
-        pieces,
-        F.struct(F.lit(-len(BETWEEN)).alias("at"), F.expr("cast(array() as array<struct<start: int, length: int>>)").alias("spans")),
-        lambda have, p: F.struct(
-            (have["at"] + p["lead"] + p["length"] + len(END)).alias("at"),
-            F.when(
-                p["trained"],
-                F.concat(have["spans"], F.array(F.struct((have["at"] + p["lead"]).alias("start"), p["length"].alias("length")))),
-            ).otherwise(have["spans"]).alias("spans"),
-        ),
-        lambda have: have["spans"],
-    )
-    return escaped.select("conv_id", F.array_join(block_text, BETWEEN).alias("formatted"), spans.alias("loss_spans"))
+
+
+#: Characters of a piece of a formatted text; a span is cut out of the few pieces it lies in.
+PIECE = 1024
 
 
 def read_chats(chats: DataFrame) -> DataFrame:
     """Adds what can be read back: ``turns`` (role, text) and ``loss_texts``."""
     heads = F.split(F.expr(f"substring(formatted, {len(HEAD) + 1})"), F.concat(F.lit(BETWEEN), F.lit(HEAD)), -1)
-    blocks = F.transform(heads, lambda b: F.struct(F.regexp_extract(b, r"(?s)^((?:[^\\:]|\\.)*): ", 1).alias("role"), b.alias("text")))
+    # Possessive: the head of any length is read in a loop, without a way back.
+    role = r"(?s)^((?:[^\\:]++|\\.)*+): "
+    blocks = F.transform(heads, lambda b: F.struct(F.regexp_extract(b, role, 1).alias("role"), b.alias("text")))
+    named = F.transform(
+        blocks,
+        lambda b: F.struct(
+            unescape(b["role"]).alias("role"), F.split(F.substr(b["text"], F.length(b["role"]) + 3), F.lit(END), -1).alias("texts")
+        ),
+    )
     turns = F.flatten(
         F.transform(
-            blocks,
+            named,
             lambda b: F.transform(
                 # The last part is what stands behind the last end mark: nothing.
-                F.slice(
-                    F.split(F.substr(b["text"], F.length(b["role"]) + 3), F.lit(END), -1), F.lit(1),
-                    F.size(F.split(b["text"], F.lit(END), -1)) - 1,
-                ),
-                lambda t: F.struct(unescape(b["role"]).alias("role"), unescape(t).alias("text")),
+                F.slice(b["texts"], F.lit(1), F.size(b["texts"]) - 1),
+                lambda t: F.struct(b["role"].alias("role"), unescape(t).alias("text")),
             ),
         )
     )
-    losses = F.transform("loss_spans", lambda s: unescape(F.substring("formatted", s["start"] + 1, s["length"])))
-    return chats.withColumn("turns", turns).withColumn("loss_texts", losses)
+    pieces = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def cut(have: Column, span: Column) -> Column:
+        first, last = F.floor(span["start"] / PIECE), F.floor((span["start"] + span["length"]) / PIECE)
+        around = F.array_join(F.slice(have, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return F.substr(around, (span["start"] - first * PIECE + 1).cast("int"), span["length"])
+
+    # The pieces are bound to a variable: they are made once per text, not per span.
+    losses = F.transform(F.array(pieces), lambda have: F.transform("loss_spans", lambda span: unescape(cut(have, span))))
+    return chats.withColumn("turns", turns).withColumn("loss_texts", losses[0])

@@ -10,9 +10,9 @@ all pairs of a tile are found at once, and a pair is near if together they
 reach the longer length minus one. A pair counts in the segment where its
 common prefix ends, hence once.
 
-A block of more than ``block`` words is dealt again by finer segments, down to
-single places, where the alphabet bounds it. So no task holds an unbounded
-block, no pair leaves a task, and none is left out.
+A block of more than ``block`` words is dealt again by finer segments; one that
+stays as large is cut into parts, and every two parts are a block of their own.
+So no task holds an unbounded block, no pair leaves a task, and none is left out.
 """
 
 from __future__ import annotations
@@ -37,15 +37,16 @@ _LETTER = ((W.LOWER >= 0x61) & (W.LOWER <= 0x7A)) | (np.arange(256) == _LEAD)
 
 @dataclass(frozen=True)
 class Settings:
-    """``segments`` per length at first; ``ratio``: how much more frequent a form is than its variant.
+    """``segments`` per length at first, as many again in each of ``refinements``.
 
-    ``task_rows``: rows of blocks per task, on average.
+    ``ratio``: how much more frequent a form is than its variant. ``task_rows``: rows of blocks per task, on average.
     """
 
     least_length: int = 7
     least_count: int = 2
     ratio: int = 10
     segments: int = 3
+    refinements: int = 2
     block: int = 1024
     task_rows: int = 150_000
 
@@ -164,7 +165,7 @@ def _place(batch: pa.RecordBatch, s: Settings, finer: bool) -> pa.RecordBatch:
     keys = np.concatenate(parts).view(np.int64)
     at = pa.array(row)
     arrays = [pa.array(keys), pa.array(shorter), pa.array(from_), pa.array(to), batch.column("word").take(at), batch.column("n").take(at)]
-    return pa.RecordBatch.from_arrays(arrays, ["key", "shorter", "from", "to", "word", "n"])
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.zeros(len(row), np.int32))], [c.split()[0] for c in _BLOCK_ROWS.split(", ")])
 
 
 def _turns(rows: np.ndarray) -> list[np.ndarray]:
@@ -174,7 +175,8 @@ def _turns(rows: np.ndarray) -> list[np.ndarray]:
     return [np.flatnonzero(nth == k) for k in range(int(nth.max(initial=-1)) + 1)]
 
 
-_BLOCK_ROWS = "key long, shorter long, from long, to long, word string, n long"
+#: ``side`` is 0, or 1 and 2 for the two parts of a large block, whose words meet those of the other part only.
+_BLOCK_ROWS = "key long, shorter long, from long, to long, word string, n long, side int"
 #: Words of one side of a tile, and pairs that are compared at once.
 SIDE, AT_ONCE = 32, 1 << 18
 
@@ -216,7 +218,7 @@ def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return count
 
 
-def _near_pairs(codes, cuts, group, shorter, from_, to) -> tuple[np.ndarray, np.ndarray]:
+def _near_pairs(codes, cuts, group, shorter, from_, to, part_of) -> tuple[np.ndarray, np.ndarray]:
     """Rows of near words of one group. Rows are sorted by length class and group."""
     sizes = np.diff(cuts)
     found = []
@@ -250,7 +252,8 @@ def _near_pairs(codes, cuts, group, shorter, from_, to) -> tuple[np.ndarray, np.
             t, r, c = np.nonzero(near)
             p, q, cp = x[t, r], y[t, c], prefix[t, r, c].astype(np.int64)
             # Of two longer words the class above decides; the common prefix must end in this segment.
-            own = (np.minimum(sizes[p], sizes[q]) == shorter[p]) & (cp >= from_[p]) & ((cp < to[p]) | (to[p] == shorter[p]))
+            own = (part_of[p] == 0) | (part_of[p] != part_of[q])
+            own &= (np.minimum(sizes[p], sizes[q]) == shorter[p]) & (cp >= from_[p]) & ((cp < to[p]) | (to[p] == shorter[p]))
             found.append((p[own], q[own]))
     return tuple(np.concatenate(f) for f in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
 
@@ -263,7 +266,7 @@ def _judge(rows: pa.Table) -> pa.Table:
     often = np.concatenate([[False], key[1:] == key[:-1], [False]])
     by = by[often[1:] | often[:-1]]
     words = rows["word"].combine_chunks().take(pa.array(by))
-    shorter, from_, to, n = (np.asarray(rows[c])[by] for c in ("shorter", "from", "to", "n"))
+    shorter, from_, to, n, side = (np.asarray(rows[c])[by] for c in ("shorter", "from", "to", "n", "side"))
     new = np.ones(len(by), bool)
     key = np.asarray(rows["key"])[by]
     new[1:] = (key[1:] != key[:-1]) | (shorter[1:] != shorter[:-1])
@@ -271,7 +274,7 @@ def _judge(rows: pa.Table) -> pa.Table:
         x = y = np.zeros(0, np.int64)
     else:
         codes, cuts = _codes(words)
-        x, y = _near_pairs(codes, cuts, np.cumsum(new), shorter, from_, to)
+        x, y = _near_pairs(codes, cuts, np.cumsum(new), shorter, from_, to, side)
     this, other = np.concatenate([x, y]), np.concatenate([y, x])
     involved = np.unique(other)
     alphabetical = np.zeros(len(by), np.int64)
@@ -287,7 +290,7 @@ def _judge(rows: pa.Table) -> pa.Table:
 
 
 def _blocks(words: DataFrame, s: Settings) -> Iterator[DataFrame]:
-    """Rows of blocks, all of at most ``block`` words or of single places."""
+    """Rows of blocks of about ``block`` words."""
 
     def deal(finer: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,16 +300,25 @@ def _blocks(words: DataFrame, s: Settings) -> Iterator[DataFrame]:
 
         return run
 
-    rows, finer = words, False
-    while True:
-        placed = materialise(rows.mapInArrow(deal(finer), _BLOCK_ROWS))
-        large = placed.filter("to - from > 1").groupBy("key").count().filter(F.col("count") > s.block).select("key")
-        large = materialise(large)
+    rows = words
+    for turn in range(s.refinements + 1):
+        placed = materialise(rows.mapInArrow(deal(turn > 0), _BLOCK_ROWS))
+        # A block for a single place of the shorter words is bounded by the alphabet.
+        sizes = placed.filter("to - from > 1").groupBy("key").agg(F.count("*").alias("size"))
+        large = materialise(sizes.filter(F.col("size") > s.block))
         if large.isEmpty():
             yield placed
             return
         yield placed.join(large, "key", "left_anti")
-        rows, finer = placed.join(large, "key", "left_semi"), True
+        rows = placed.join(large, "key")
+        if turn < s.refinements:
+            rows = rows.drop("size")
+    parts = F.ceil(F.col("size") / s.block).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    cut = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")).withColumn("other", other)
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    side = F.when(low == high, F.lit(0)).when(F.col("part") == low, F.lit(1)).otherwise(F.lit(2))
+    yield cut.select(F.xxhash64("key", low, high).alias("key"), "shorter", "from", "to", "word", "n", side.alias("side"))
 
 
 def near_words(words: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -319,7 +331,7 @@ def near_words(words: DataFrame, settings: Settings = Settings()) -> DataFrame:
     for placed in _blocks(words, s):
         tasks = max(1, placed.count() // s.task_rows)
         bucket = F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("bucket")
-        dealt = placed.select(bucket, "key", "shorter", "from", "to", "word", "n").repartition(tasks, "bucket")
+        dealt = placed.select(bucket, "key", "shorter", "from", "to", "word", "n", "side").repartition(tasks, "bucket")
         near = dealt.groupBy("bucket").applyInArrow(_judge, "word string, n_near long, near string, near_n long")
         found = near if found is None else found.unionByName(near)
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near")))

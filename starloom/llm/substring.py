@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from starloom.llm import words as W
 from starloom.llm.fm_index import FMIndex
+from starloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -107,7 +108,7 @@ def _hot(rows: DataFrame, s: Settings, total: int) -> np.ndarray:
 
 def _deal(batch: pa.RecordBatch, s: Settings, shards: int, hot: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[tuple[int, bytes]]:
     """Segments of one chunk by shard, equal ones merged."""
-    ids = np.asarray(batch.column("doc_id"))
+    ids, keys = np.asarray(batch.column("doc_id")), np.asarray(batch.column("key"))
     data, offsets = W.text_bytes(batch.column("text"))
     words = W.find_words(data, offsets)
     starts = W.windows(words, s.window)
@@ -163,36 +164,36 @@ def _deal(batch: pa.RecordBatch, s: Settings, shards: int, hot: np.ndarray = np.
         own, copies = use[use_cuts[k] : use_cuts[k + 1]], order[copy_cuts[k] : copy_cuts[k + 1]]
         yield k, _pack(
             b"\n".join([names[i] for i in segments.tolist()]), least[segments],
-            renumber[which[own]], at[own], ids[text_of[copies]], from_[copies], to[copies],
+            renumber[which[own]], at[own], keys[docs[first[own]]], ids[text_of[copies]], keys[text_of[copies]], from_[copies], to[copies],
         )
 
 
-def _judge(blobs: list[bytes], s: Settings, hot: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Removed word ranges (document, first, behind last) that one shard finds."""
+def _judge(blobs: list[bytes], s: Settings, hot: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, ...]:
+    """Removed word ranges (document, key of its text, first, behind last) that one shard finds."""
     number: dict[bytes, int] = {}
     owners, segments, uses, out = [], [], [], []
     for blob in blobs:
-        text, least, use, at, *copies = _unpack(blob, 7)
+        text, least, use, at, key, *copies = _unpack(blob, 9)
         out.append(tuple(map(_numbers, copies)))
         if not text:
             continue
         here = np.array([number.setdefault(t, len(number)) for t in text.split(b"\n")], np.int64)
         least = _numbers(least)
         owners.append(least), segments.append(here)
-        uses.append((here[_numbers(use)], least[_numbers(use)], _numbers(at)))
+        uses.append((here[_numbers(use)], least[_numbers(use)], _numbers(key), _numbers(at)))
     names = list(number)
     if not names:
         return tuple(np.concatenate(x) for x in zip(*out))
     first_owner = np.full(len(names), np.iinfo(np.int64).max)
     np.minimum.at(first_owner, np.concatenate(segments), np.concatenate(owners))
-    which, doc, at = (np.concatenate(x) for x in zip(*uses))
+    which, doc, key, at = (np.concatenate(x) for x in zip(*uses))
     joined = np.frombuffer(b"\n".join(names) + b"\n", np.uint8)
     ends = np.flatnonzero(joined == 0x0A) + 1
     words = W.find_words(joined, np.concatenate([[0], ends]))
     counts, hashes = words.counts, words.hashes()
     later = doc > first_owner[which]
-    out.append((doc[later], at[later], at[later] + counts[which[later]]))
-    which, doc, at = which[~later], doc[~later], at[~later]
+    out.append((doc[later], key[later], at[later], at[later] + counts[which[later]]))
+    which, doc, key, at = which[~later], doc[~later], key[~later], at[~later]
 
     # Segments whose anchor no other segment has hold no window of another one.
     anchor = np.minimum.reduceat(
@@ -244,10 +245,10 @@ def _judge(blobs: list[bytes], s: Settings, hot: np.ndarray = np.zeros(0, np.uin
         place = np.full(len(names), -1)
         place[some] = np.arange(len(some))
         used = place[which]
-        which, doc, at = used[used >= 0], doc[used >= 0], at[used >= 0]
+        which, doc, key, at = used[used >= 0], doc[used >= 0], key[used >= 0], at[used >= 0]
         per_use = np.diff(run_first)[which]
         runs = W.ranges(run_first[which], per_use)
-        out.append((np.repeat(doc, per_use), np.repeat(at, per_use) + from_[runs], np.repeat(at, per_use) + to[runs]))
+        out.append((np.repeat(doc, per_use), np.repeat(key, per_use), np.repeat(at, per_use) + from_[runs], np.repeat(at, per_use) + to[runs]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -278,13 +279,32 @@ def _cut(batch: pa.RecordBatch) -> list[pa.Array]:
     return [pa.array(words.counts), pa.array(lost), pa.array(texts, pa.binary()).cast(pa.string())]
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows (doc_id, key, text); the key tells texts of one id apart and is 0 for ids that occur once.
+
+    Only ids that occur more than once are joined, so texts are not moved where there are none.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    again = materialise(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias("again")))
+    if again.isEmpty():
+        return rows.select("doc_id", F.lit(0).cast("long").alias("key"), "text")
+    marked = rows.join(again, "doc_id", "left")
+    return marked.select("doc_id", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).alias("key"), "text")
+
+
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """Word ranges (doc_id, start, end) that an earlier document holds too. They may overlap."""
-    s = settings
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
+    """Word ranges (doc_id, key, start, end) that an earlier document holds too. They may overlap.
+
+    ``key`` is 0, or for an id with several rows the 64-bit hash of the text.
+    """
+    return _spans(_keyed(docs, doc_id, text), settings)
+
+
+def _spans(keyed: DataFrame, s: Settings) -> DataFrame:
+    rows = keyed.filter("doc_id is not null and text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-total // s.shard_bytes) or 1
-    hot = docs.sparkSession.sparkContext.broadcast(_hot(rows, s, total) if shards > 1 else np.zeros(0, np.uint64))
+    hot = rows.sparkSession.sparkContext.broadcast(_hot(rows, s, total) if shards > 1 else np.zeros(0, np.uint64))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,23 +313,21 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     yield pa.RecordBatch.from_pydict({"shard": pa.array([k], pa.int64()), "segments": pa.array([blob], pa.binary())})
 
     def judge(group: pa.Table) -> pa.Table:
-        doc, start, end = _judge([b.as_py() for b in group.column("segments")], s, hot.value)
-        return pa.table({"doc_id": pa.array(doc), "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
+        doc, key, start, end = _judge([b.as_py() for b in group.column("segments")], s, hot.value)
+        return pa.table({"doc_id": pa.array(doc), "key": pa.array(key), "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
 
     dealt = rows.mapInArrow(deal, "shard long, segments binary")
-    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(judge, "doc_id long, start long, end long")
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(judge, "doc_id long, key long, start long, end long")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_text.
 
     A null text has no words; a text shorter than a window stays as it is. A
-    row without an id is nobody's earlier document and loses nothing. Ids are
-    meant to be unique: equal rows get equal results.
+    row without an id is nobody's earlier document and loses nothing. Rows of
+    one id are judged each by its own text; equal rows get equal results.
     """
-    spans = repeated_spans(docs, doc_id, text, settings)
-    removed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("removed"))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    joined = rows.join(removed.withColumn("doc_id", F.col("doc_id").cast(rows.schema["doc_id"].dataType)), "doc_id", "left")
+    keyed = _keyed(docs, doc_id, text)
+    removed = _spans(keyed, settings).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias("removed"))
+    joined = keyed.join(removed, ["doc_id", "key"], "left").drop("key").withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     return W.map_texts(joined, "text", FIELDS, _cut, drop=("text", "removed"))
-

@@ -2,8 +2,11 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -145,3 +148,68 @@ def hits(text, benchmark):
             if tuple(w[j : j + n]) in windows:
                 hit |= set(range(j, j + n))
     return hit
+
+
+def spelling(docs, slip=31):
+    """docs: (id, text). Rows (word, form, root, n, n_near, form_n)."""
+    counts = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if slip and h % slip == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += len(run) >= 7
+    counts = {w: n for w, n in counts.items() if n >= 2}
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+    form, n_near = {}, {}
+    for w in counts:
+        around = [x for x in counts if near(w, x)]
+        n_near[w] = len(around)
+        best = min(around, key=lambda x: (-counts[x], x), default=None)
+        if best and counts[best] >= 10 * counts[w]:
+            form[w] = best
+    out = []
+    for w in counts:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, counts[w], n_near[w], counts.get(form.get(w))))
+    return out
+
+
+def runs(w, least=24, times=3):
+    """Longest stretches (start, length, smallest period), distance by distance."""
+    out = []
+    x = np.unique(np.array(w), return_inverse=True)[1] if len(w) else np.zeros(0)
+    for p in range(1, len(w) // times + 1):
+        same = np.concatenate([[False], x[:-p] == x[p:], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for start, end in edges.reshape(-1, 2)[edges[1::2] - edges[::2] + p >= max(least, times * p)].tolist():
+            part = w[start : end + p]
+            if not any(part[r:] == part[:-r] for r in range(1, p)):
+                out.append((start, len(part), p))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic(docs):
+    """docs: (id, text), with the contract's planted stretches. Rows (id, words, runs, collapsed text)."""
+    out = []
+    for i, t in docs:
+        w = words(t)
+        h = zlib.crc32(("" if i is None else str(i)).encode())
+        if h % 10 == 0 and w:
+            g, n = h // 10, len(w)
+            a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+            w = [w[k if k < a else a + (k - a) % p] for k in range(n)]
+        found = runs(w)
+        gone = {k for s, length, p in found for k in range(s + p, s + length)}
+        out.append((i, len(w), found, " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return out

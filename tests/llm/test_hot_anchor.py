@@ -18,13 +18,13 @@ def test_hot_line_is_spread_over_shards(spark):
     total = sum(map(len, texts))
     hot = substring._hot(table, s, total)
     assert len(hot)
-    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(600), pa.int64()), "text": texts})
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(600), pa.int64()), "key": pa.array([0] * 600, pa.int64()), "text": texts})
     shards = -(-total // s.shard_bytes)
 
     def largest(hot):
         sizes = np.zeros(shards)
         for k, blob in substring._deal(batch, s, shards, hot):
-            text, *_ = substring._unpack(blob, 7)
+            text, *_ = substring._unpack(blob, 9)
             sizes[k] += len(text)
         return sizes.max() / sizes.mean()
 

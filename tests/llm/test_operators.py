@@ -99,6 +99,16 @@ def test_substring_dedup(docs, texts, nothing):
     assert substring.without_repeats(nothing).count() == 0
 
 
+def test_texts_of_one_id_are_judged_apart(spark):
+    import random
+
+    r = random.Random(9)
+    a, b = (" ".join(f"w{r.randint(0, 10**6)}" for _ in range(20)) for _ in range(2))
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (None, a), (5, None)]
+    got = rows_of(substring.without_repeats(spark.createDataFrame(rows, "doc_id int, text string")), "doc_id", "n_removed", "kept_text")
+    assert got == sorted([(1, 0, a), (5, 20, ""), (5, 0, b), (5, 0, b), (7, 20, ""), (None, 0, a), (5, 0, "")], key=repr)
+
+
 def test_decontamination(spark, docs, texts, nothing):
     passage = texts[10][1].split("  ")[1]
     items = [(1, passage), (1, passage[30:]), (2, "One, TWO!"), (10, "it's"), (None, "ha ha"), (3, None), (4, "!!"), (5, "日本"), (11, "ha " * 30)]
@@ -247,6 +257,22 @@ def test_chats_read_back(spark):
     assert chat.read_chats(chat.format_chats(table.limit(0))).count() == 0
 
 
+def test_chats_of_any_size(spark):
+    role = "r:\\" * 33_334
+    rows = [(1, i, "assistant" if i % 2 else role if i == 2 else "user", f"t{i} ### ") for i in range(100_000)] + [(2, 0, "assistant", "é\U0001f600" * 90_000)]
+    got = {c["conv_id"]: c for c in chat.read_chats(chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))).collect()}
+    assert [tuple(t) for t in got[1]["turns"]] == [r[2:] for r in rows[:-1]] and got[1]["loss_texts"] == [r[3] for r in rows[:-1] if r[2] == "assistant"]
+    assert got[2]["loss_texts"] == [rows[-1][3]]
+    for c in got.values():
+        assert [chat_text(c["formatted"][s : s + n]) for s, n in c["loss_spans"]] == c["loss_texts"]
+
+
+def chat_text(escaped):
+    import re
+
+    return re.sub(r"(?s)\\(.)", r"\1", escaped)
+
+
 def test_tokens_round_trip(spark, docs, texts, nothing):
     path, to = vocabulary("word_bpe_49k.json"), scratch_path(spark)
     settings = token_output.Settings(shard_tokens=9000, partition_bytes=100_000)
