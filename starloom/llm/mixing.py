@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.llm import words as W
 from starloom.session import materialise
 
 #: Keys have 60 bits.
@@ -86,43 +87,53 @@ def mix(
     """
     s = settings
     made = ("size", "source_size", "target", "taken")
-    mine = {c: f"__{c}" for c in ("key", "range", "place", "source")}
+    own = {c: W.private(docs.columns) + c for c in ("key", "range", "place", "source", "name", "size", "target", "budget", "ranges", "sum", "offset", "before")}
     kept = [c for c in docs.columns if c.lower() not in made]
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     digest = F.md5(F.concat(F.lit(s.seed + ":"), name))
     keyed = docs.select(
-        *kept, (F.coalesce(F.col(size), F.lit(0)) if size else n_words(text)).cast("long").alias("size"), F.col(source).cast("string").alias(mine["source"]),
-        F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long").alias(mine["key"]),
+        *kept, (F.coalesce(F.col(size), F.lit(0)) if size else n_words(text)).cast("long").alias("size"), F.col(source).cast("string").alias(own["source"]),
+        F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long").alias(own["key"]),
     )
-    totals = keyed.groupBy(F.col(mine["source"]).alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    totals = keyed.groupBy(F.col(own["source"]).alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     sources = materialise(_targets(totals, s))
     known = sources.select(
-        F.col("source").alias("__name"), F.col("place").alias(mine["place"]), F.col("source_size").alias("__source_size"),
-        F.col("target").alias("__target"), F.col("budget").alias("__budget"), F.col("ranges").alias("__ranges"),
+        F.col("source").alias(own["name"]), F.col("place").alias(own["place"]), F.col("source_size").alias(own["size"]),
+        F.col("target").alias(own["target"]), F.col("budget").alias(own["budget"]), F.col("ranges").alias(own["ranges"]),
     )
-    ranged = keyed.join(known, F.col(mine["source"]).eqNullSafe(F.col("__name"))).withColumn(
-        mine["range"], F.floor(F.col(mine["key"]) / (F.lit(float(1 << KEY_BITS)) / F.col("__ranges"))).cast("int")
+    ranged = keyed.join(known, F.col(own["source"]).eqNullSafe(F.col(own["name"]))).withColumn(
+        own["range"], F.floor(F.col(own["key"]) / (F.lit(float(1 << KEY_BITS)) / F.col(own["ranges"]))).cast("int")
     )
-    at = [mine["place"], mine["range"]]
-    sums = ranged.groupBy(*at).agg(F.sum("size").alias("__sum"))
-    before = Window.partitionBy(mine["place"]).orderBy(mine["range"]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*at, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy(*at).orderBy(mine["key"], doc_id, size or text).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.join(offsets, at).withColumn("__before", F.col("__offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    whole = F.when(F.col("__source_size") > 0, F.floor(F.col("__budget") / F.col("__source_size"))).otherwise(F.lit(0))
-    rest = F.col("__budget") - whole * F.col("__source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("__before")))
+    at = [own["place"], own["range"]]
+    sums = ranged.groupBy(*at).agg(F.sum("size").alias(own["sum"]))
+    before = Window.partitionBy(own["place"]).orderBy(own["range"]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*at, F.coalesce(F.sum(own["sum"]).over(before), F.lit(0)).alias(own["offset"]))
+    inside = Window.partitionBy(*at).orderBy(own["key"], doc_id, size or text).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.join(offsets, at).withColumn(own["before"], F.col(own["offset"]) + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    whole = F.when(F.col(own["size"]) > 0, F.floor(F.col(own["budget"]) / F.col(own["size"]))).otherwise(F.lit(0))
+    rest = F.col(own["budget"]) - whole * F.col(own["size"])
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col(own["before"])))
     return placed.select(
-        *kept, "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        *kept, "size", F.col(own["size"]).alias("source_size"), F.col(own["target"]).alias("target"),
         (whole * F.col("size") + part).cast("long").alias("taken"),
     )
 
 
-def epochs(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The mix itself: a row per copy of a document; a copy in part holds its first words, one space between."""
+def epochs(mixed: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
+    """The mix itself: a row per copy of a document.
+
+    A copy in part holds its first words, one space between. With ``whole`` it
+    is a whole copy if at least half of it is taken, else none, which leaves a
+    source within one document of its target.
+    """
     columns = [c for c in mixed.columns if c not in ("size", "source_size", "target", "taken")]
-    copies = mixed.filter("taken > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
-    left = F.col("taken") - (F.col("__copy") - 1) * F.col("size")
+    own = W.private(mixed.columns) + "copy"
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5) if whole else F.ceil(F.col("taken") / F.col("size"))
+    each = mixed.filter("taken > 0").withColumn(own, copies.cast("int")).filter(F.col(own) > 0)
+    each = each.withColumn(own, F.explode(F.sequence(F.lit(1), F.col(own))))
+    if whole:
+        return each.select(*columns)
+    left = F.col("taken") - (F.col(own) - 1) * F.col("size")
     words = F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1))
     cut = F.array_join(F.slice(words, F.lit(1), left.cast("int")), " ")
-    return copies.withColumn(text, F.when(left >= F.col("size"), F.col(text)).otherwise(cut)).select(*columns)
+    return each.withColumn(text, F.when(left >= F.col("size"), F.col(text)).otherwise(cut)).select(*columns)

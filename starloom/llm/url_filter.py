@@ -52,8 +52,8 @@ def word_rule(verdict: str, word: str) -> Rule:
 #: Rules of the method, for addresses that no other rule fits.
 GENERAL = (
     *(word_rule("block", w) for w in ("casino", "poker", "porn", "xxx", "viagra", "torrent", "warez")),
-    Rule("download", "block", r"(?s:.*)/download/(?s:.*)\.(?:exe|msi|apk|zip|rar|iso)$", ("download",)),
-    Rule("number host", "block", r"\d+\.\d+\.\d+\.\d+(?::\d+)?(?:/|$)"),
+    Rule("download", "block", r"(?s:.*)/download/(?s:.*)\.(?:exe|msi|apk|zip|rar|iso)\Z", ("download",)),
+    Rule("number host", "block", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+(?::[0-9]+)?(?:/|\Z)"),
 )
 
 
@@ -115,19 +115,20 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...], url: str = "url", gen
     made = ("host", "path", "rule", "verdict")
     host, path = split_url(url)
     kept = [c for c in pages.columns if c.lower() not in made or c == url]
-    split = pages.select(*kept, host.alias("__host"), path.alias("__path")).withColumn("__address", F.concat("__host", "__path"))
-    counts = tuple(sorted(token_counts(split, "__address", [*rules, *general]).items()))
+    own_host, own_path, address = (W.private(pages.columns) + c for c in ("host", "path", "address"))
+    split = pages.select(*kept, host.alias(own_host), path.alias(own_path)).withColumn(address, F.concat(own_host, own_path))
+    counts = tuple(sorted(token_counts(split, address, [*rules, *general]).items()))
 
     def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
         own, other = _index(rules, counts), _index(general, counts)
         known: dict[str, tuple[str | None, str]] = {}
-        for a in set(batch.column("__address").to_pylist()):
+        for a in set(batch.column(address).to_pylist()):
             rule = own.best(a)
             known[a] = (rule.name, rule.verdict) if rule else (None, (other.best(a) or Rule("", "allow", "")).verdict)
-        out = [known[a] for a in batch.column("__address").to_pylist()]
-        hosts = batch.column("__host").to_pylist()
+        out = [known[a] for a in batch.column(address).to_pylist()]
+        hosts = batch.column(own_host).to_pylist()
         verdicts = [v if h or r else "block" for (r, v), h in zip(out, hosts, strict=True)]
-        return [batch.column("__host"), batch.column("__path"), pa.array([r for r, _ in out], pa.string()), pa.array(verdicts, pa.string())]
+        return [batch.column(own_host), batch.column(own_path), pa.array([r for r, _ in out], pa.string()), pa.array(verdicts, pa.string())]
 
     fields = [T.StructField(c, T.StringType(), True) for c in made]
-    return W.map_texts(split, "__address", fields, kernel, drop=("__host", "__path", "__address"))
+    return W.map_texts(split, address, fields, kernel, drop=(own_host, own_path, address))

@@ -235,6 +235,14 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def private(columns: list[str]) -> str:
+    """A beginning of names that none of the columns has, for columns of one's own."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def lists(values: pa.Array | np.ndarray, counts: np.ndarray) -> pa.ListArray:
     """A list column from its values one after the other."""
     offsets = np.zeros(len(counts) + 1, np.int32)

@@ -43,9 +43,7 @@ def plain(docs, benchmark):
     texts = {i: t for i, t, _ in left}
     copies = []
     for i, _, size, taken in brute.mix([(i, s, t) for i, t, s in left]):
-        while taken > 0:
-            copies.append((i, texts[i] if taken >= size else " ".join(brute.words(texts[i])[:taken])))
-            taken -= size
+        copies += [(i, texts[i])] * ((2 * taken + size) // (2 * size) if size else 0)
     coder, start, out = PieceEncoder(vocabulary("word_bpe_49k.json"), "dropped"), 0, []
     for i, t in sorted(copies):
         ids = np.append(coder.whole(t), 1).astype("<u4")
@@ -87,3 +85,30 @@ def test_one_row_of_an_id_stays(spark, folder):
     docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
     out = corpus_pipeline.near_duplicate_stage(spark, docs, folder)
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted([(1, long), (None, long), (None, None)], key=repr)
+
+
+#: Result names of the operators, private ones of the library, and names of Spark's own kind.
+CLASHES = (
+    "size target taken source_size kept n_words n_hit items spans word_spans removed row others key _key __key __place __copy __host _size"
+    " base_failed word_chars component_id n_shingles count again n_tokens start"
+).split()
+
+
+def test_extra_columns_of_any_name_stay(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHES]).limit(120)
+    extra = extra.withColumn("pairs", F.create_map(F.lit("a"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, folder)
+        plain = stage(spark, extra.select(docs.columns), folder)
+        assert out.columns == extra.columns, name
+        wrong = out.filter(" or ".join(f"`{c}` is distinct from concat('{c} ', doc_id)" for c in CLASHES) + " or pairs['a'] is distinct from doc_id")
+        assert wrong.isEmpty() and sorted(map(repr, out.select(docs.columns).collect())) == sorted(map(repr, plain.collect())), name
+
+
+def test_reruns_keep_the_same_row(spark, folder):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long, "en", s, 1) for s in ("c", None, "b", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 2, 4):
+        assert [r["source"] for r in corpus_pipeline.near_duplicate_stage(spark, docs.repartition(parts), folder).collect()] == [None]  # an absent value comes first in JSON
