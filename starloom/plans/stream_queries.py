@@ -14,7 +14,7 @@ from starloom.plans.bindings import table
 from starloom.plans.compare import r, rounded
 from starloom.session import scratch_path
 from starloom.sources import documents
-from starloom.streaming import streams
+from starloom.streaming import stateful, streams
 
 SLICES = 3
 
@@ -75,10 +75,8 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, checkpoint = scratch_path(spark), scratch_path(spark)
-    found = _arriving(
-        spark, _samples(spark, sf_dir), "ts", lambda s: streams.running_stats(s, ["service"], "value", out, checkpoint)
-    )
+    checkpoint = scratch_path(spark)
+    found = _arriving(spark, _samples(spark, sf_dir), "ts", lambda s: streams.running_stats(s, ["service"], "value", checkpoint))
     return rounded(found, 6)
 
 
@@ -101,6 +99,38 @@ def _held_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("service", F.unix_micros("started").alias("started_us"))
 
 
+def _stateful(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    out, checkpoint = scratch_path(spark), scratch_path(spark)
+    with stateful.state_store(spark):
+        return _arriving(spark, _samples(spark, sf_dir), "ts", lambda s: streams.drain(build(s), out, checkpoint))
+
+
+def _absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _stateful(spark, sf_dir, lambda s: stateful.absent_services(s, 86400.0, "1 hour"))
+    return found.select("service", F.unix_micros("last").alias("last_us"))
+
+
+def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _stateful(spark, sf_dir, lambda s: stateful.sliding_rate(s, "value", "5 days", "1 day", 432000.0, "1 day"))
+    return rounded(found.select("service", F.unix_micros("window_start").alias("start_us"), "rate"), 9)
+
+
+def _percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _stateful(spark, sf_dir, lambda s: stateful.window_percentiles(s, "1 day", ["event_type"], "value", "1 day", k=4000))
+    return rounded(found.select("event_type", F.unix_micros("window_start").alias("start_us"), "n", "p50", "p95", "p99"), 6)
+
+
+def _ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limits are samples of one kind, usages those of the others within an hour behind them."""
+
+    def build(s: DataFrame) -> DataFrame:
+        limit = s.filter("event_type = 'purchase'").select("service", "ts", F.col("value").alias("limit"))
+        usage = s.filter("event_type <> 'purchase'").select("service", "ts", "event_id", F.col("value").alias("usage"))
+        return stateful.ratio_alerts(usage, limit, ["service"], 0.9, "12 hours", "1 hour").select("service", "event_id", F.unix_micros("limit_ts").alias("limit_us"), "ratio")
+
+    return rounded(_stateful(spark, sf_dir, build), 6)
+
+
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = scratch_path(spark), scratch_path(spark)
     found = _arriving(
@@ -119,6 +149,10 @@ QUERIES = {
     "stream_running_stats": _running,
     "stream_held_alerts": _held,
     "stream_held_alerts_ties": _held_ties,
+    "stream_absent_service": _absent,
+    "stream_sliding_rate": _rates,
+    "stream_window_percentiles": _percentiles,
+    "stream_ratio_alerts": _ratios,
     "stream_new_files_to_features": _incremental,
 }
 
@@ -143,5 +177,19 @@ ORACLES = {
       a AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY service ORDER BY ts, event_id) AS g FROM s),
       b AS (SELECT service, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS ended_us FROM a WHERE hit GROUP BY service, g)
       SELECT service, started_us FROM b WHERE ended_us - started_us >= 86400 * 1000000::BIGINT""",
+    "stream_absent_service": """WITH a AS (SELECT user_id AS service, epoch_us(ts) AS last_us,
+        lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_us, (SELECT max(epoch_us(ts)) - 3600000000 FROM events) AS now_us FROM events)
+      SELECT service, last_us FROM a WHERE coalesce(next_us, now_us) - last_us >= 86400000000""",
+    "stream_sliding_rate": f"""WITH a AS (SELECT user_id AS service, ts, value / pi() AS v, lag(value / pi()) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
+      i AS (SELECT service, ts, CASE WHEN p IS NULL THEN NULL WHEN v >= p THEN v - p ELSE v END AS inc FROM a),
+      w AS (SELECT service, inc, unnest([epoch_us(date_trunc('day', ts)) - k * 86400000000 for k in range(5)]) AS start_us FROM i)
+      SELECT service, start_us, {r('coalesce(sum(inc), 0.0) / 432000.0', 'rate', 9)} FROM w
+      WHERE start_us + 5 * 86400000000 <= (SELECT max(epoch_us(ts)) - 86400000000 FROM events) GROUP BY service, start_us""",
+    "stream_window_percentiles": f"""SELECT event_type, epoch_us(date_trunc('day', ts)) AS start_us, count(*) AS n,
+      {', '.join(r(f'quantile_disc(value / pi(), {q})', n) for n, q in (('p50', 0.5), ('p95', 0.95), ('p99', 0.99)))} FROM events
+      WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY event_type, date_trunc('day', ts)""",
+    "stream_ratio_alerts": f"""SELECT u.user_id AS service, u.event_id, epoch_us(l.ts) AS limit_us, {r('u.value / l.value', 'ratio')} FROM events u JOIN events l
+      ON u.user_id = l.user_id AND u.event_type <> 'purchase' AND l.event_type = 'purchase' AND u.ts >= l.ts AND u.ts < l.ts + INTERVAL 12 HOUR
+      WHERE u.value / l.value > 0.9""",
     "stream_new_files_to_features": feature_queries.ORACLES["feature_moments"],
 }

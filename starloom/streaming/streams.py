@@ -1,8 +1,8 @@
 """Streams of messages, samples and files.
 
 Event time is UTC. Rows later than ``delay`` are dropped. Windows come out in
-append mode once the watermark has passed their end, running values in update
-mode. Checkpoint folders are always given by the caller.
+append mode once the watermark has passed their end; running values stay in the
+state store and are read from it. Checkpoint folders are always given by the caller.
 """
 
 from __future__ import annotations
@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.operators import monitor
-from starloom.operators.joins import last_by_key, lookup
-from starloom.operators.series import open_series
-from starloom.plans.extraction import existing
-from starloom.session import materialise
+from starloom.session import materialise, scratch
+from starloom.streaming import stateful
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
@@ -78,81 +76,31 @@ def route(df: DataFrame, routes: dict[str, str], path: str, checkpoint: str) ->
     """
 
     def send(batch: DataFrame, epoch: int) -> None:
-        kept = materialise(batch)
-        for topic, condition in routes.items():
-            kept.filter(condition).write.mode("overwrite").parquet(f"{path}/{topic}/epoch={epoch}")
+        with scratch(batch.sparkSession):  # the batch's rows go once they are sent
+            kept = materialise(batch)
+            for topic, condition in routes.items():
+                kept.filter(condition).write.mode("overwrite").parquet(f"{path}/{topic}/epoch={epoch}")
 
     each_batch(df, send, checkpoint)
 
 
-def running_stats(df: DataFrame, by: list[str], value: str, path: str, checkpoint: str) -> DataFrame:
-    """Count, sum and extremes per key, kept up to date; the newest row per key."""
+def running_stats(df: DataFrame, by: list[str], value: str, checkpoint: str) -> DataFrame:
+    """Count, sum and extremes per key, kept up to date in the state store and read from there."""
     running = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high")
     )
-
-    def keep(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-
-    each_batch(running, keep, checkpoint, "update")
-    return last_by_key(df.sparkSession.read.parquet(path), by, F.col("epoch")).drop("epoch")
+    query = running.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stateful.stored_stats(df.sparkSession, checkpoint, by)
 
 
-def held_alerts(df: DataFrame, condition: str, seconds: float, path: str, checkpoint: str) -> DataFrame:
-    """Alerts for conditions that hold for some time, once per run of breaches.
+def held_alerts(df: DataFrame, condition: str, seconds: float, path: str, checkpoint: str, delay: str = "30 days") -> DataFrame:
+    """Alerts for conditions that hold for some time, once per run of breaches; all alerts so far.
 
-    Rows are ``(service, ts, event_id, value)``. Every batch runs the batch
-    plan over its rows plus, per service, the open run of earlier batches.
-    That state is one row per service. Two tables take turns, so a batch that
-    runs again finds what it read before, and no more than two are kept. Hot
-    services are cut into blocks like any hot series. Rows are in order of
-    time and ``event_id``; what comes before the last row seen is late and dropped.
+    Rows are ``(service, ts, event_id, value)``; see ``stateful``.
     """
-    spark = df.sparkSession
-    state_path, alert_path = f"{path}/state", f"{path}/alerts"
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    empty = f"service {kinds['service']}, last timestamp, last_id {kinds['event_id']}, started timestamp, fired boolean"
-
-    def step(batch: DataFrame, epoch: int) -> None:
-        before = existing(spark, f"{state_path}/turn={(epoch - 1) % 2}") if epoch else None
-        before = before if before is not None else spark.createDataFrame([], empty)
-        samples = materialise(batch.select("service", "ts", "event_id", "value"))
-        rows = lookup(samples, before, ["service"], "left")
-        later = "last is null or ts > last or (ts = last and event_id > last_id)"
-        fresh = materialise(rows.filter(later).drop("last", "last_id", "started", "fired"))
-        s = open_series(fresh, ["service"], ["ts", "event_id"]).located()
-        s = s.with_columns(_hit=F.coalesce(F.expr(condition), F.lit(False)))
-        s = s.with_running(_run=F.when(F.col("_hit"), F.lit(0)).otherwise(F.lit(1)).cast("long"))
-        marked = s.rows().select("service", "ts", "event_id", "_hit", "_run")
-        # run 0 goes on from an open run; a service without new rows keeps its state
-        runs = marked.filter("_hit").groupBy("service", "_run").agg(F.min("ts").alias("first"), F.max("ts").alias("ended"))
-        newest = F.max(F.struct("ts", "event_id"))
-        ends = marked.groupBy("service").agg(F.max("_run").alias("_last_run"), newest["ts"].alias("last"), newest["event_id"].alias("last_id"))
-        runs = lookup(materialise(runs), before.select("service", "started", "fired"), ["service"], "left")
-        open_before = (F.col("_run") == 0) & F.col("started").isNotNull()
-        runs = runs.select(
-            "service", "_run", "ended",
-            F.when(open_before, F.col("started")).otherwise(F.col("first")).alias("started"),
-            F.when(open_before, F.col("fired")).otherwise(F.lit(False)).alias("fired"),
-        )
-        lasted = (F.unix_micros("ended") - F.unix_micros("started")) / F.lit(1e6)
-        runs = materialise(runs.withColumn("due", lasted >= seconds))
-        runs.filter("due and not fired").select("service", "started").write.mode("overwrite").parquet(
-            f"{alert_path}/epoch={epoch}"
-        )
-        # the last run is open if nothing calm followed it
-        current = ends.join(
-            runs.select("service", F.col("_run").alias("_last_run"), "started", (F.col("fired") | F.col("due")).alias("fired")),
-            ["service", "_last_run"], "left",
-        )
-        silent = before.join(ends.select("service"), "service", "left_anti")
-        after = current.select("service", "last", "last_id", "started", "fired").unionByName(silent)
-        after.write.mode("overwrite").parquet(f"{state_path}/turn={epoch % 2}")
-
-    each_batch(df, step, checkpoint)
-    alerts = existing(spark, alert_path)
-    none = spark.createDataFrame([], f"service {kinds['service']}, started timestamp")
-    return (alerts if alerts is not None else none).select("service", "started")
+    with stateful.state_store(df.sparkSession):
+        return drain(stateful.held_runs(df, condition, seconds, delay), path, checkpoint)
 
 
 def new_files_to_features(df: DataFrame, features: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataFrame:
@@ -162,7 +110,8 @@ def new_files_to_features(df: DataFrame, features: Callable[[DataFrame], DataFra
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
-        features(materialise(batch)).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        with scratch(batch.sparkSession):
+            features(materialise(batch)).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     each_batch(df, step, checkpoint)
     return df.sparkSession.read.parquet(path).drop("epoch")
