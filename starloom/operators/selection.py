@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -17,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.tails import f_pvalue, z_pvalue
+from starloom.operators import columns
+from starloom.operators.information import neighbour_information
 from starloom.operators.series import even_chunk, open_series, running_totals
 from starloom.session import materialise
 
@@ -40,46 +41,19 @@ def long_form(df: DataFrame, names: list[str]) -> DataFrame:
 # correlation filter
 
 
-def correlations(df: DataFrame, names: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of features, earlier feature first.
+def correlations(df: DataFrame, names: list[str], above: float | None = None) -> DataFrame:
+    """Pearson correlation of every pair of features, earlier feature first; with ``above`` only stronger ones.
 
     A pair is compared on the rows that have both values; null, NaN and
-    infinite values count as missing. Sums of products are taken per partition,
-    around the column means, and added up: a row per pair, whatever the number
-    of rows. A pair without spread has no correlation (null).
+    infinite values count as missing. A pair without spread has no correlation (null).
     """
-    values = df.select(*[F.col(n).cast("double").alias(f"_{i}") for i, n in enumerate(names)])
-    finite = [F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)) for c in values.columns]
-    means = values.agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in finite]).alias("m")).first()["m"]
-    first, second = np.triu_indices(len(names), 1)
-
-    def sums(batches):
-        total = np.zeros((6, len(first)))
-        for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan) - np.array(means)
-            there = np.isfinite(x)
-            x, m = np.where(there, x, 0.0), there.astype("float64")
-            products = (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)
-            total += np.stack([p[first, second] for p in products])
-        yield pd.DataFrame({"i": first, "j": second, **{c: total[k] for k, c in enumerate(("n", "sx", "sy", "xx", "yy", "xy"))}})
-
-    parts = values.mapInPandas(sums, "i int, j int, n double, sx double, sy double, xx double, yy double, xy double")
-    added = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "xx", "yy", "xy")])
-    across = F.expr("xy - sx * sy / n")
-    spread = [F.expr(f"greatest(0, {s}{s} - s{s} * s{s} / n)") for s in ("x", "y")]
-    # What rounding leaves of the spread of a constant is none.
-    some = (spread[0] > F.col("xx") * 1e-14) & (spread[1] > F.col("yy") * 1e-14)
-    named = F.array(*[F.lit(n) for n in names])
-    return added.select(
-        "i", "j", F.get(named, F.col("i")).alias("earlier"), F.get(named, F.col("j")).alias("feature"),
-        F.when((F.col("n") > 1) & some, across / F.sqrt(spread[0] * spread[1])).alias("corr"),
-    )
+    pairs = columns.named(columns.correlated_pairs(df, names, above), names, "i", "earlier")
+    return columns.named(pairs, names, "j", "feature").select("i", "j", "earlier", "feature", "corr")
 
 
 def uncorrelated(df: DataFrame, names: list[str], threshold: float = 0.95) -> list[str]:
     """Features without a stronger correlation to any earlier one, dropped or not."""
-    pairs = correlations(df, names)
-    strong = pairs.filter(F.abs("corr") > threshold).select("feature").distinct()
+    strong = correlations(df, names, threshold).select("feature").distinct()
     dropped = {row["feature"] for row in strong.collect()}
     return [n for n in names if n not in dropped]
 
@@ -89,9 +63,13 @@ def uncorrelated(df: DataFrame, names: list[str], threshold: float = 0.95) -> li
 
 def f_scores(long: DataFrame) -> DataFrame:
     """Analysis of variance per feature: ``f_score`` and degrees of freedom."""
-    groups = long.groupBy("feature", "label").agg(
-        F.count("value").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")
+    return f_of_classes(
+        long.groupBy("feature", "label").agg(F.count("value").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
     )
+
+
+def f_of_classes(groups: DataFrame) -> DataFrame:
+    """The same from count, mean and variance per feature and label."""
     n, m = F.col("n"), F.col("m")
     whole = Window.partitionBy("feature")
     groups = groups.withColumn("grand", F.sum(n * m).over(whole) / F.sum(n).over(whole))
@@ -106,8 +84,9 @@ def f_scores(long: DataFrame) -> DataFrame:
     return sums.select("feature", score.alias("f_score"), "d1", "d2")
 
 
-def f_test(long: DataFrame) -> DataFrame:
-    return f_scores(long).withColumn("p_value", f_pvalue("f_score", "d1", "d2")).drop("d1", "d2")
+def f_test(df: DataFrame, names: list[str]) -> DataFrame:
+    """Scores and p-values of the columns of a matrix, from one pass over it."""
+    return f_of_classes(columns.class_moments(df, names)).withColumn("p_value", f_pvalue("f_score", "d1", "d2")).drop("d1", "d2")
 
 
 # mutual information
@@ -129,6 +108,13 @@ def mutual_information(long: DataFrame, bins: int = MI_BINS) -> DataFrame:
     return cells.groupBy("feature").agg(F.sum(gain).alias("mutual_info"))
 
 
+def information_of(df: DataFrame, names: list[str], estimate: str = "neighbours") -> DataFrame:
+    """Mutual information of the columns with the label, by nearest neighbours or by bins."""
+    if estimate not in ("neighbours", "bins"):
+        raise ValueError("information must be 'neighbours' or 'bins'")
+    return neighbour_information(df, names) if estimate == "neighbours" else mutual_information(long_form(df, names))
+
+
 # relevance
 
 
@@ -318,10 +304,12 @@ def select(
     fdr_level: float = 0.05,
     seed: int = 42,
     depth: int = DEPTH,
+    information: str = "neighbours",
 ) -> DataFrame:
     """One row per feature that entered the test: ``(feature, score, p_value, selected)``.
 
     ``all`` keeps features found by relevance, mutual information and forest.
+    ``information`` names the estimate of mutual information, "neighbours" or "bins".
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; choose from {METHODS}")
@@ -342,11 +330,11 @@ def select(
         return table(found, F.lit(1.0) - F.col("p_value"), F.col("p_value"), found.filter("relevant"))
 
     def by_information() -> DataFrame:
-        found = mutual_information(long)
+        found = information_of(df, names, information)
         return table(found, F.col("mutual_info"), none, top_features(found, "mutual_info", k))
 
     def by_variance() -> DataFrame:
-        found = f_test(long)
+        found = f_test(df, names)
         return table(found, F.col("f_score"), F.col("p_value"), top_features(found, "f_score", k))
 
     def by_forest() -> DataFrame:
@@ -376,11 +364,12 @@ def average_rank(scores: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumn("avg_rank", total / len(columns))
 
 
-def feature_importance(df: DataFrame, top_k: int = 50, with_forest: bool = True, seed: int = 42, depth: int = DEPTH) -> DataFrame:
+def feature_importance(
+    df: DataFrame, top_k: int = 50, with_forest: bool = True, seed: int = 42, depth: int = DEPTH, information: str = "neighbours"
+) -> DataFrame:
     """Scores by several methods with ranks, the ``top_k`` of best mean rank."""
     names = feature_names(df)
-    long = long_form(df, names)
-    scores = mutual_information(long).join(f_test(long), "feature")
+    scores = information_of(df, names, information).join(f_test(df, names), "feature")
     columns = ["mutual_info", "f_score"]
     if with_forest:
         scores = scores.join(forest_importance(df, names, seed=seed, depth=depth), "feature")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import selection
+from starloom.operators.information import neighbour_information
 from starloom.plans import bindings
 from starloom.plans.compare import r, rounded
 
@@ -48,10 +49,17 @@ def _top_f(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = selection.feature_importance(matrix(spark, sf_dir), 50, with_forest=False)
+    found = selection.feature_importance(matrix(spark, sf_dir), 50, with_forest=False, information="bins")
     return rounded(found.drop("p_value"), 6)
 
 
+def _neighbours(block_rows: int | None = None):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(neighbour_information(matrix(spark, sf_dir), NAMES, block_rows=block_rows), 8)
+
+    return query
+
+
 def _controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """False discovery control with p-values that SQL can form too."""
     scores = selection.f_scores(_long(spark, sf_dir)).select("feature", F.exp(-F.col("f_score")).alias("p_value"))
@@ -79,12 +87,14 @@ QUERIES = {
     "correlation_filter": _correlated,
     "f_score": _f_score,
     "mutual_information": lambda spark, sf_dir: rounded(selection.mutual_information(_long(spark, sf_dir)), 6),
+    "neighbour_information": _neighbours(),
+    "neighbour_information_split": _neighbours(100),
     "rank_sum": _rank_sums,
     "false_discovery_control": _controlled,
     "select_f_test": _top_f,
     "importance_ranking": _importance,
     "relevance_table": lambda spark, sf_dir: rounded(selection.relevance(_long(spark, sf_dir)), 6),
-    "f_test_pvalues": lambda spark, sf_dir: rounded(selection.f_test(_long(spark, sf_dir)), 6),
+    "f_test_pvalues": lambda spark, sf_dir: rounded(selection.f_test(matrix(spark, sf_dir), NAMES), 6),
     "forest_importance": lambda spark, sf_dir: selection.top_forest(
         selection.forest_importance(matrix(spark, sf_dir), NAMES)
     ),
@@ -99,6 +109,15 @@ ORACLES = {
       SELECT feature, {r('max(abs(c))', 'strongest')}, max(abs(c)) <= {THRESHOLD} AS kept FROM p GROUP BY feature""",
     "f_score": f"WITH {F_SCORES} SELECT feature, {r('f_score', 'f_score')} FROM f",
     "mutual_information": f"WITH {LONG}, {MI} SELECT feature, {r('mutual_info', 'mutual_info')} FROM mi",
+    "neighbour_information": f"""WITH {LONG}, o AS (SELECT *, count(*) OVER c AS nc, count(*) OVER (PARTITION BY feature) AS n,
+        {", ".join(f"value - lag(value, {j}) OVER s AS b{j}, lead(value, {j}) OVER s - value AS a{j}" for j in (1, 2, 3))}
+        FROM l WINDOW c AS (PARTITION BY feature, label), s AS (PARTITION BY feature, label ORDER BY value, id)),
+      q AS (SELECT *, list_sort(list_filter([{", ".join(f"a{j}, b{j}" for j in (1, 2, 3))}], lambda d: d IS NOT NULL))[3] AS r FROM o),
+      m AS (SELECT q.feature, q.id, any_value(q.n) AS n, any_value(q.nc) AS nc, count(*) AS m FROM q JOIN l ON q.feature = l.feature
+        AND (abs(l.value - q.value) < q.r OR (q.r = 0 AND l.value = q.value)) GROUP BY q.feature, q.id),
+      h AS (SELECT i, coalesce(sum(1.0 / (i - 1)) FILTER (i > 1) OVER (ORDER BY i), 0) AS psi FROM range(1, (SELECT count(*) FROM embeddings) + 1) AS g(i))
+      SELECT feature, {r('greatest(0, avg(hn.psi + 1.5 - hc.psi - hm.psi))', 'mutual_info', 8)}
+      FROM m JOIN h hn ON hn.i = m.n JOIN h hc ON hc.i = m.nc JOIN h hm ON hm.i = m.m GROUP BY feature""",
     "rank_sum": f"""WITH {LONG}, q AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value)
         + (count(*) OVER (PARTITION BY feature, value) - 1) / 2 AS rk, count(*) OVER (PARTITION BY feature, value) AS t FROM l),
       s AS (SELECT feature, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS n1, sum(rk * label) AS r1,
@@ -120,3 +139,4 @@ ORACLES = {
       SELECT feature, {r('mutual_info', 'mutual_info')}, {r('f_score', 'f_score')}, {r('a', 'mutual_info_rank')},
         {r('b', 'f_score_rank')}, {r('(a + b) / 2', 'avg_rank')} FROM k ORDER BY (a + b) / 2, feature LIMIT 50""",
 }
+ORACLES["neighbour_information_split"] = ORACLES["neighbour_information"]

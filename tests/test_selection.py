@@ -8,7 +8,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import selection
+from starloom.operators import columns, selection
+from starloom.operators.information import neighbour_information
 
 
 @pytest.fixture(scope="module")
@@ -117,7 +118,7 @@ def test_discovery_control(spark):
 def test_golden_f_test(spark):
     from starloom.plans import selection_queries
 
-    found = selection.f_test(selection_queries._long(spark, "/root/testdata/sf0.01")).filter("feature = 'f0'").first()
+    found = selection.f_test(selection_queries.matrix(spark, "/root/testdata/sf0.01"), selection_queries.NAMES).filter("feature = 'f0'").first()
     assert found["f_score"] == pytest.approx(1.6834860324630179)
     assert found["p_value"] == pytest.approx(0.19506258862761494)
 
@@ -127,3 +128,65 @@ def test_select_and_save(spark, matrix, tmp_path):
     stats = selection.select_and_save(matrix, out, info, method="f_test", k=4).first()
     assert stats["n_selected"] == 4 and spark.read.parquet(out).columns[:2] == ["id", "label"]
     assert spark.read.json(info).filter("selected").count() == 4
+
+
+def _matrix(spark, n, width, seed=5):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, width)).round(1)
+    x[:, 1] = x[:, 0] * 2 + rng.normal(size=n) * 0.01
+    x[:, 2] = 1e9 + x[:, 0]
+    x[:, 3] = 7.0
+    x[rng.random(x.shape) < 0.05] = np.nan
+    label = (np.nan_to_num(x[:, 0]) > 0.3).astype(int) + (rng.random(n) < 0.2)
+    label[0] = 9
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(width)]).assign(id=np.arange(n), label=label)
+    return pdf, spark.createDataFrame(pdf).repartition(7)
+
+
+def test_tiles_give_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(columns, "TILE", 4)
+    monkeypatch.setattr(columns, "FAN", 2)
+    pdf, df = _matrix(spark, 300, 10)
+    names = [f"c{i}" for i in range(10)]
+    got = {(r["earlier"], r["feature"]): r["corr"] for r in selection.correlations(df, names).collect()}
+    want = pdf[names].corr()
+    assert len(got) == 45
+    for (a, b), c in got.items():
+        assert (c is None) == np.isnan(want.loc[a, b]) and (c is None or abs(c - want.loc[a, b]) < 1e-6)
+    strong = {(r["earlier"], r["feature"]) for r in selection.correlations(df, names, 0.9).collect()}
+    assert strong == {p for p, c in got.items() if c is not None and abs(c) > 0.9} == {("c0", "c1"), ("c0", "c2"), ("c1", "c2")}
+    assert selection.correlations(df.limit(0), names, 0.5).count() == 0
+
+
+def _plain_information(v, c, k=3):
+    from math import inf
+
+    psi = lambda n: sum(1 / i for i in range(1, n)) - 0.5772156649015329
+    keep = [i for i in range(len(v)) if list(c).count(c[i]) > 1]
+    v, c, total = v[keep], c[keep], 0.0
+    for i in range(len(v)):
+        own = np.sort(np.abs(np.delete(v[c == c[i]], np.flatnonzero(np.flatnonzero(c == c[i]) == i)[0]) - v[i]))
+        near = min(k, len(own))
+        r = own[near - 1]
+        m = int((np.abs(v - v[i]) < r).sum() if r > 0 else (v == v[i]).sum())
+        total += psi(near) - psi(len(own) + 1) - psi(m)
+    return max(0.0, psi(len(v)) + total / len(v)) if len(v) else inf
+
+
+@pytest.mark.parametrize("block", [None, 40])
+def test_information_by_neighbours(spark, block):
+    """Ties, missing values, a class of one sample, a constant column."""
+    pdf, df = _matrix(spark, 220, 5)
+    names = [f"c{i}" for i in range(5)]
+    got = {r["feature"]: r["mutual_info"] for r in neighbour_information(df, names, block_rows=block).collect()}
+    for n in names:
+        there = np.isfinite(pdf[n].to_numpy())
+        assert got[n] == pytest.approx(_plain_information(pdf[n].to_numpy()[there], pdf.label.to_numpy()[there]), abs=1e-9)
+
+
+def test_moments_of_classes(spark):
+    pdf, df = _matrix(spark, 200, 6)
+    got = {(r["feature"], r["label"]): r for r in columns.class_moments(df, [f"c{i}" for i in range(6)]).collect()}
+    for (name, label), r in got.items():
+        part = pdf.loc[pdf.label == label, name].dropna()
+        assert r["n"] == len(part) and r["m"] == pytest.approx(part.mean()) and r["v"] == pytest.approx(part.var(ddof=0), abs=1e-6)
