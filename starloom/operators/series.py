@@ -116,20 +116,7 @@ class Series:
         if self.hot is None:
             return replace(self, cold=cold, halo=halo)
         hot = _positions(_own(self.hot).drop("_own", "_block"), self.keys, self.order, self.block)
-        size = max(self.block, halo)
-        home = F.expr(f"pos div {size}")
-        hot = hot.withColumn("_home", home)
-        if halo:
-            inside = F.expr(f"pos % {size}")
-            targets = F.array(
-                F.col("_home"),
-                F.when((inside < halo) & (F.col("_home") > 0), F.col("_home") - 1),
-                F.when(inside >= size - halo, F.col("_home") + 1),
-            )
-            hot = hot.withColumn("_block", F.explode(F.array_compact(targets)))
-        else:
-            hot = hot.withColumn("_block", F.col("_home"))
-        hot = hot.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
+        hot = _copied(hot, self.block, halo)
         return replace(self, cold=cold, hot=materialise(hot), halo=halo)
 
     def windowed(self, make: Callable[[Neighbours], dict[str, Column]]) -> Series:
@@ -177,7 +164,9 @@ class Series:
         hot = _own(self.hot).withColumns({n: agg(v).over(local) for n, v in values.items()})
         hot = hot.join(F.broadcast(carry), by_block, "left")
         hot = hot.withColumns({n: merge(F.col(n), F.col(f"_c_{n}")) for n in values})
-        return replace(self, cold=cold, hot=hot.drop(*[f"_c_{n}" for n in values]))
+        # Neighbouring blocks get their copies anew, with the running values.
+        hot = _copied(hot.drop("_own", "_block", *[f"_c_{n}" for n in values]), self.block, self.halo)
+        return replace(self, cold=cold, hot=hot)
 
     def rows(self) -> DataFrame:
         """All rows once, without the helper columns of the hot plan."""
@@ -229,6 +218,22 @@ def even_chunk(pos: Column, n: Column, chunks: int) -> Column:
     return F.when(pos < turn, F.floor(pos / (base + 1))).otherwise(longer + F.floor(F.try_divide(pos - turn, base)))
 
 
+def _copied(hot: DataFrame, block: int, halo: int) -> DataFrame:
+    """Rows with the block of their position, and copies for the blocks that see them."""
+    size = max(block, halo)
+    hot = hot.withColumn("_home", F.expr(f"pos div {size}"))
+    if not halo:
+        return hot.withColumn("_block", F.col("_home")).withColumn("_own", F.lit(True)).drop("_home")
+    inside = F.expr(f"pos % {size}")
+    targets = F.array(
+        F.col("_home"),
+        F.when((inside < halo) & (F.col("_home") > 0), F.col("_home") - 1),
+        F.when(inside >= size - halo, F.col("_home") + 1),
+    )
+    hot = hot.withColumn("_block", F.explode(F.array_compact(targets)))
+    return hot.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
+
+
 def _own(df: DataFrame) -> DataFrame:
     return df.filter("_own") if "_own" in df.columns else df
 

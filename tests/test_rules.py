@@ -38,6 +38,7 @@ def test_frames_do_not_depend_on_the_plan(spark):
             "slope": w.ahead("flux", 10) - w.back("flux", 10), "flux": -F.col("flux"),
         })
         s = s.with_running(total=F.col("flux")).with_columns(number=F.col("pos") + 1)
+        s = s.windowed(lambda w: {"total": w.ahead("total", 9) - w.back("total", 10)})
         return sorted((tuple(r) for r in s.rows().select("time", "sum", "first", "list", "slope", "flux", "total", "number").collect()))
 
     assert values(None) == values(1000) == values(37)
