@@ -21,3 +21,22 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def r(expression: str, name: str, digits: int = 6) -> str:
     return f'round({expression}, {digits}) + 0.0 AS "{name}"'
+
+
+def _simpson(value: str, low: str, high: str, steps: int) -> str:
+    """An integral over ``k`` of ``value`` with ``{at}`` as the variable."""
+    at = f"({low} + ({high} - {low}) * k / {steps}.0)"
+    weight = f"CASE WHEN k IN (0, {steps}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(list_sum(list_transform(range(0, {steps + 1}), lambda k: {weight} * {value.format(at=at)})) * ({high} - {low}) / {3 * steps})"
+
+
+def t_tail_sql(t: str, nu: str) -> str:
+    """Two-sided tail of Student's t: with t = sqrt(nu) tan(a) the density is a power of cos(a)."""
+    power = f"pow(greatest(cos({{at}}), 0), {nu} - 1)"
+    whole, part = _simpson(power, "0.0", "pi() / 2", 4000), _simpson(power, f"atan(abs({t}) / sqrt({nu}))", "pi() / 2", 4000)
+    return f"{part} / {whole}"
+
+
+def z_tail_sql(z: str) -> str:
+    """Two-sided normal tail."""
+    return f"{_simpson('exp(-pow({at}, 2) / 2)', f'abs({z})', f'(abs({z}) + 12)', 4000)} * sqrt(2 / pi())"

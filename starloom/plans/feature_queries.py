@@ -16,7 +16,7 @@ from starloom.functions.names import feature
 from starloom.functions.registry import FAMILIES, HALO, extract, impute
 from starloom.operators.series import Series, open_series
 from starloom.plans import bindings
-from starloom.plans.compare import r, rounded
+from starloom.plans.compare import r, rounded, t_tail_sql
 
 
 def s1(spark: SparkSession, sf_dir: str, block_rows: int | None = None) -> Series:
@@ -490,6 +490,8 @@ QUERIES["feature_set_minimal"] = _minimal
 
 ORACLES: dict[str, str] = {key: sql(digits) for key, (_, digits, sql, _, _) in SPECS.items() if sql is not None}
 ORACLES["feature_imputed"] = _imputed_sql(5)
+ORACLES["feature_linear_trend_pvalue"] = f"""WITH {S1}, l AS (SELECT id, {_line_sql("x", "pos")["slope"]} AS b, {_line_sql("x", "pos")["stderr"]} AS e, count(x) AS n FROM s GROUP BY id)
+  SELECT id, {r(t_tail_sql("b / e", "(n - 2)"), PVALUE)} FROM l"""
 ORACLES["feature_fft_angles"] = (
     lambda d: f"""WITH {S1}, f AS (SELECT id, k, sum(x * cos(2 * pi() * ((k * pos) % n) / n)) AS re,
         CASE WHEN 2 * k = max(n) THEN 0.0 ELSE -sum(x * sin(2 * pi() * ((k * pos) % n) / n)) END AS im

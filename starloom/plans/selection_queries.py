@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.operators import selection
 from starloom.operators.information import neighbour_information
 from starloom.plans import bindings
-from starloom.plans.compare import r, rounded
+from starloom.plans.compare import r, rounded, t_tail_sql, z_tail_sql
 
 WIDTH = 64
 NAMES = [f"f{i}" for i in range(WIDTH)]
@@ -83,6 +83,13 @@ MI = """b AS (SELECT *, ntile(10) OVER (PARTITION BY feature ORDER BY value, id)
 CORR = f"""p AS (SELECT a.feature AS earlier, b.feature AS feature, corr(a.value, b.value) AS c FROM l a JOIN l b ON a.id = b.id
     AND CAST(substr(a.feature, 2) AS INTEGER) < CAST(substr(b.feature, 2) AS INTEGER) GROUP BY 1, 2)"""
 
+RANKS = f"""{LONG}, q AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value)
+        + (count(*) OVER (PARTITION BY feature, value) - 1) / 2 AS rk, count(*) OVER (PARTITION BY feature, value) AS t FROM l),
+      s AS (SELECT feature, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS n1, sum(rk * label) AS r1,
+        sum(CAST(t AS DOUBLE) * t - 1) AS ties FROM q GROUP BY feature),
+      u AS (SELECT *, n - n1 AS n0, r1 - n1 * (n1 + 1) / 2 AS u FROM s),
+      z AS (SELECT feature, u, greatest(abs(u - n1 * n0 / 2) - 0.5, 0) / sqrt(n1 * n0 / 12 * (n + 1 - ties / (n * (n - 1)))) AS z FROM u)"""
+
 QUERIES = {
     "correlation_filter": _correlated,
     "f_score": _f_score,
@@ -118,12 +125,14 @@ ORACLES = {
       h AS (SELECT i, coalesce(sum(1.0 / (i - 1)) FILTER (i > 1) OVER (ORDER BY i), 0) AS psi FROM range(1, (SELECT count(*) FROM embeddings) + 1) AS g(i))
       SELECT feature, {r('greatest(0, avg(hn.psi + 1.5 - hc.psi - hm.psi))', 'mutual_info', 8)}
       FROM m JOIN h hn ON hn.i = m.n JOIN h hc ON hc.i = m.nc JOIN h hm ON hm.i = m.m GROUP BY feature""",
-    "rank_sum": f"""WITH {LONG}, q AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value)
-        + (count(*) OVER (PARTITION BY feature, value) - 1) / 2 AS rk, count(*) OVER (PARTITION BY feature, value) AS t FROM l),
-      s AS (SELECT feature, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS n1, sum(rk * label) AS r1,
-        sum(CAST(t AS DOUBLE) * t - 1) AS ties FROM q GROUP BY feature),
-      u AS (SELECT *, n - n1 AS n0, r1 - n1 * (n1 + 1) / 2 AS u FROM s)
-      SELECT feature, {r('u', 'u', 5)}, {r('greatest(abs(u - n1 * n0 / 2) - 0.5, 0) / sqrt(n1 * n0 / 12 * (n + 1 - ties / (n * (n - 1))))', 'z', 5)} FROM u""",
+    "rank_sum": f"""WITH {RANKS} SELECT feature, {r('u', 'u', 5)}, {r('z', 'z', 5)} FROM z""",
+    "relevance_table": f"""WITH {RANKS}, p AS (SELECT feature, {z_tail_sql('z')} AS p_value FROM z),
+      k AS (SELECT *, row_number() OVER (ORDER BY p_value, feature) AS i, count(*) OVER () AS m FROM p),
+      hm AS (SELECT sum(1.0 / j) AS c FROM range(1, (SELECT count(*) FROM p) + 1) AS g(j)),
+      t AS (SELECT max(i) AS top FROM k, hm WHERE p_value <= i * 0.05 / (m * c))
+      SELECT feature, 'real' AS type, {r('p_value', 'p_value')}, coalesce(i <= top, false) AS relevant FROM k, t""",
+    "f_test_pvalues": f"""WITH {F_SCORES}, n AS (SELECT count(*) - 2 AS nu FROM embeddings)
+      SELECT feature, {r('f_score', 'f_score')}, {r(t_tail_sql('sqrt(f_score)', 'nu'), 'p_value')} FROM f, n""",
     "false_discovery_control": f"""WITH {F_SCORES}, p AS (SELECT feature, exp(-f_score) AS p_value FROM f),
       k AS (SELECT *, row_number() OVER (ORDER BY p_value, feature) AS i, count(*) OVER () AS m FROM p),
       hm AS (SELECT sum(1.0 / j) AS c FROM range(1, (SELECT count(*) FROM p) + 1) AS g(j)),
