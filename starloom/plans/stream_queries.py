@@ -74,6 +74,34 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found[0].unionByName(found[1]), 6)
 
 
+def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of three topics, every tenth one cut off, parsed on a stream: a value of each, and whether it is broken."""
+    rows = _samples(spark, sf_dir)
+    made = {
+        "light_curves": (rows.groupBy(F.col("service").cast("string").alias("id")).agg(
+            F.array_sort(F.collect_list(F.struct(F.unix_seconds("ts").cast("double").alias("t"), "event_id", "value"))).alias("p")
+        ).select("id", F.transform("p", lambda p: p["t"]).alias("time"), F.transform("p", lambda p: p["value"]).alias("flux")), "id", F.element_at("flux", -1)),
+        "debris_tracks": (rows.select(
+            F.col("event_id").cast("string").alias("object_id"), F.array("value", -F.col("value"), F.lit(1.0)).alias("position_eci")
+        ), "object_id", F.col("position_eci")[1]),
+        "risk_assessments": (rows.select(
+            F.col("event_id").cast("string").alias("detection_id"), (F.col("value") / 500).alias("risk"), F.col("event_type").alias("source")
+        ), "detection_id", F.col("risk")),
+    }
+    found = None
+    for topic, (table_, key, number) in made.items():
+        messages = documents.to_messages(table_, key)
+        cut = F.when(F.col("key").cast("long") % 10 == 0, F.substring("value", 1, 12)).otherwise(F.col("value"))
+        path = scratch_path(spark)
+        messages.withColumn("value", cut).write.parquet(path)
+        parsed = documents.parse_messages(streams.file_stream(spark, path, messages.schema), topic, broken="broken")
+        out = streams.drain(
+            parsed.select(F.lit(topic).alias("topic"), "key", number.alias("number"), F.col("broken").isNotNull().alias("broken")), scratch_path(spark), scratch_path(spark)
+        )
+        found = out if found is None else found.unionByName(out)
+    return rounded(found, 6)
+
+
 def _running(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_path(spark)
     found = _arriving(spark, _samples(spark, sf_dir), "ts", lambda s: streams.running_stats(s, ["service"], "value", checkpoint))
@@ -146,6 +174,7 @@ QUERIES = {
     "stream_windows": _windows,
     "stream_without_repeats": _repeats,
     "stream_routing": _routed,
+    "stream_topics": _topics,
     "stream_running_stats": _running,
     "stream_held_alerts": _held,
     "stream_held_alerts_ties": _held_ties,
@@ -167,6 +196,10 @@ ORACLES = {
         '{topic}' AS topic FROM events WHERE value / 500 >= {limit}"""
         for topic, limit in (("risk_assessments", 0.1), ("control_commands", 0.5))
     ),
+    "stream_topics": f"""WITH m AS (
+        SELECT 'light_curves' AS topic, user_id AS key, last(value / pi() ORDER BY ts, event_id) AS number FROM events GROUP BY user_id
+        UNION ALL SELECT 'debris_tracks', event_id, -value / pi() FROM events UNION ALL SELECT 'risk_assessments', event_id, value / pi() / 500 FROM events)
+      SELECT topic, CAST(key AS VARCHAR) AS key, {r('CASE WHEN key % 10 <> 0 THEN number END', 'number')}, key % 10 = 0 AS broken FROM m""",
     "stream_running_stats": f"""SELECT user_id AS service, count(*) AS n, {r('sum(value / pi())', 'total')},
       {r('min(value / pi())', 'low')}, {r('max(value / pi())', 'high')} FROM events GROUP BY user_id""",
     "stream_held_alerts": """WITH a AS (SELECT user_id, ts, value / pi() > 10 AS hit,

@@ -32,15 +32,37 @@ MESSAGE_SCHEMAS = {
         "debris_catalog array<struct<norad_id: string, tle_line1: string, tle_line2: string, rcs: double, mass: double>>, "
         "environmental struct<solar_flux: double, geomagnetic_index: double, atmospheric_density: double>"
     ),
+    # Our shapes for topics that have a name only: what the library reads and makes of them.
+    "light_curves": "id string, target string, time array<double>, flux array<double>, flux_err array<double>",
+    "debris_tracks": (
+        "object_id string, timestamp string, position_eci array<double>, velocity_eci array<double>, "
+        "covariance array<array<double>>, estimated_size_m double"
+    ),
+    "risk_assessments": "detection_id string, timestamp string, source string, risk double, category string, priority int",
 }
 
 
-def parse_messages(df: DataFrame, topic: str, value: str = "value") -> DataFrame:
-    """Columns of a topic's JSON messages; broken messages have all columns null."""
-    parsed = df.withColumn("_m", F.from_json(F.col(value).cast("string"), MESSAGE_SCHEMAS[topic]))
+def parse_messages(df: DataFrame, topic: str, value: str = "value", broken: str | None = None) -> DataFrame:
+    """Columns of a topic's JSON messages; broken messages have all columns null.
+
+    ``broken`` names a column for the text of a message that does not parse, null for the others.
+    """
+    schema, options = MESSAGE_SCHEMAS[topic], {}
+    if broken:
+        schema, options = f"{schema}, `{broken}` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    parsed = df.withColumn("_m", F.from_json(F.col(value).cast("string"), schema, options))
     return parsed.select("*", "_m.*").drop("_m", value)
 
 
+def curve_rows(messages: DataFrame) -> DataFrame:
+    """Parsed ``light_curves`` as series rows ``(id, time, flux, flux_err)``; samples end with the shortest array, errors may lack."""
+    n = F.least(F.size("time"), F.size("flux"))
+    places = F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)))
+    return messages.filter(n > 0).select("*", places.alias("_i")).select(
+        "id", *[F.get(F.col(c), F.col("_i")).alias(c) for c in ("time", "flux", "flux_err")]
+    )
+
+
 def to_messages(df: DataFrame, key: str) -> DataFrame:
     """``key`` and JSON ``value`` for a topic."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))

@@ -91,7 +91,7 @@ def write_series(rows: DataFrame, path: str, buckets: int = 64, rows_per_task: i
     """Series rows by bucket of the id; a bucket is written by as many tasks as its share of the rows needs."""
     spread = max(1, -(-rows.count() // (buckets * rows_per_task)))
     placed = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
-    tasks = placed.repartition(F.col("bucket"), F.pmod(F.xxhash64("time"), F.lit(spread)))
+    tasks = placed.repartition(buckets * spread, F.col("bucket"), F.pmod(F.xxhash64("time"), F.lit(spread)))
     tasks.sortWithinPartitions("bucket", "id", "time").write.partitionBy("bucket").parquet(path)
 
 

@@ -125,6 +125,15 @@ def test_messages_round_trip(spark):
     got = documents.parse_messages(rows, "threat_detections").withColumn("ts", documents.event_time("timestamp")).collect()
     assert got[0]["object_parameters"]["position_eci"] == [1.0, 2.0, 3.0] and got[0]["ts"].year == 2024
     assert got[1]["detection_id"] is None
+    told = documents.parse_messages(rows, "threat_detections", broken="bad").collect()
+    assert [r["bad"] for r in told] == [None, "broken"] and told[0]["confidence"] == 0.9
+
+
+def test_curves_from_messages(spark):
+    texts = ['{"id":"a","time":[1,2,3],"flux":[5,6]}', '{"id":"b","time":[],"flux":[1]}', '{"id":"c"}', '{"id":"d","time":[1],"flux":[2],"flux_err":[0.5]}']
+    parsed = documents.parse_messages(spark.createDataFrame([(t,) for t in texts], "value string"), "light_curves")
+    got = sorted(tuple(r) for r in documents.curve_rows(parsed).collect())
+    assert got == [("a", 1.0, 5.0, None), ("a", 2.0, 6.0, None), ("d", 1.0, 2.0, 0.5)]
 
 
 def samples(values, step=60, service=1):
