@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import assess, monitor
 from starloom.operators.series import Series, open_series
+from starloom.operators.spectrum import fast_periodogram
 from starloom.plans import bindings
 from starloom.plans.bindings import table
 from starloom.plans.compare import r, rounded
@@ -132,6 +133,16 @@ def _peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(assess.periodogram_peaks(assess.periodogram(s, FREQUENCIES), ["id"], 3), 6)
 
 
+def _fast(block_rows: int | None = None):
+    """The three strongest of 5,000 frequencies, from one transform per series."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = open_series(bindings.event_series(spark, sf_dir).filter("flux > 0"), ["id"], bindings.S1_ORDER, block_rows)
+        return rounded(assess.periodogram_peaks(fast_periodogram(s, 0.01, 5000), ["id"], 3), 4)
+
+    return query
+
+
 def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = open_series(bindings.event_series(spark, sf_dir).filter("flux > 0"), ["id"], bindings.S1_ORDER)
     return rounded(assess.box_search(s, PERIODS, bins=20), 6)
@@ -176,6 +187,8 @@ QUERIES = {
     "ratio_alerts": _ratios,
     "periodogram": _periodogram,
     "periodogram_peaks": _peaks,
+    "periodogram_fast": _fast(),
+    "periodogram_fast_split": _fast(64),
     "box_search": _boxes,
     "closest_approach": _approach,
 }
@@ -223,6 +236,13 @@ ORACLES = {
     "periodogram": f"WITH {GLS} SELECT id, {r('frequency', 'frequency')}, {r('power', 'power')} FROM p",
     "periodogram_peaks": f"""WITH {GLS} SELECT id, {r('frequency', 'frequency')}, {r('power', 'power')}, CAST(k AS INTEGER) AS rank
       FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY power DESC, frequency) AS k FROM p) WHERE k <= 3""",
+    "periodogram_fast": f"""WITH s AS (SELECT id, time - min(time) OVER (PARTITION BY id) AS t, flux - avg(flux) OVER (PARTITION BY id) AS y
+        FROM ({bindings.S1_SQL}) WHERE flux > 0),
+      w AS (SELECT id, k, y, cos(a) AS c, sin(a) AS s FROM (SELECT id, k, y, t * (k * 0.01) * 2 * pi() AS a FROM s, range(1, 5001) AS g(k))),
+      m AS (SELECT id, k, var_pop(y) AS yy, covar_pop(y, c) AS yc, covar_pop(y, s) AS ys, var_pop(c) AS cc, var_pop(s) AS ss, covar_pop(c, s) AS cs FROM w GROUP BY id, k),
+      p AS (SELECT id, k * 0.01 AS frequency, (ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys) / (yy * (cc * ss - cs * cs)) AS power FROM m)
+      SELECT id, {r('frequency', 'frequency', 4)}, {r('power', 'power', 4)}, CAST(k AS INTEGER) AS rank
+      FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY power DESC, frequency) AS k FROM p) WHERE k <= 3""",
     "box_search": f"""WITH s AS (SELECT id, min(time) OVER w AS t0, time - min(time) OVER w AS t, flux - avg(flux) OVER w AS y,
         count(*) OVER w AS n FROM ({bindings.S1_SQL}) WHERE flux > 0 WINDOW w AS (PARTITION BY id)),
       f AS (SELECT id, t0, n, y, period, least(floor((t / period - floor(t / period)) * 20), 19)::INTEGER AS bin
@@ -241,3 +261,4 @@ ORACLES = {
       m AS (SELECT *, sqrt((x + vx * t) ** 2 + (y + vy * t) ** 2 + (z + vz * t) ** 2) AS miss FROM t)
       SELECT object_id, catalog_id, {r('t', 'time_to_closest_approach')}, {r('miss', 'miss_distance')} FROM m WHERE miss <= 0.1""",
 }
+ORACLES["periodogram_fast_split"] = ORACLES["periodogram_fast"]
