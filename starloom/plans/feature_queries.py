@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions import basic, complexity, dependence, spectral, trend
+from starloom.functions import basic, complexity, dependence, similarity, spectral, trend
 from starloom.functions.names import feature
 from starloom.functions.registry import FAMILIES, HALO, extract, impute
 from starloom.operators.series import Series, open_series
@@ -431,6 +431,24 @@ def _imputed_sql(d: int) -> str:
       w AS (SELECT id, {columns} FROM l GROUP BY id) SELECT id, {', '.join(out)} FROM w"""
 
 
+SHAPE = [0.0, 1.0, 3.0, 1.0, 0.0, 0.5]
+CLOSE = 1.9
+
+
+def _similar(block_rows: int | None = None) -> Callable:
+    return lambda spark, sf_dir: similarity.query_similarity(s1(spark, sf_dir, block_rows), SHAPE, CLOSE)
+
+
+def _similar_sql() -> str:
+    """Every window as a list, normalised and compared value by value."""
+    m = len(SHAPE)
+    z = "list_transform(w, lambda v: (v - list_avg(w)) / list_stddev_pop(w))"
+    return f"""WITH {S1}, a AS (SELECT id, pos, list(x) OVER (PARTITION BY id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {m - 1} FOLLOWING) AS w FROM s),
+      q AS (SELECT {z} AS q FROM (SELECT {SHAPE}::DOUBLE[] AS w)),
+      d AS (SELECT id, sqrt(list_sum(list_transform(list_zip({z}, q), lambda p: pow(p[1] - p[2], 2)))) AS d FROM a, q WHERE len(w) = {m})
+      SELECT id, CAST(count(*) FILTER (WHERE d <= {CLOSE}) AS BIGINT) AS "{feature('query_similarity_count', normalize=True, threshold=CLOSE)}" FROM d GROUP BY id"""
+
+
 def _split(name: str, digits: int) -> Callable:
     """The same family with blocks so small that most series take the hot plan."""
 
@@ -487,9 +505,12 @@ QUERIES["feature_fft_angles"] = lambda spark, sf_dir: rounded(
 )
 QUERIES["feature_imputed"] = _imputed_quantiles
 QUERIES["feature_set_minimal"] = _minimal
+QUERIES["feature_query_similarity"] = _similar()
+QUERIES["feature_query_similarity_split"] = _similar(64)
 
 ORACLES: dict[str, str] = {key: sql(digits) for key, (_, digits, sql, _, _) in SPECS.items() if sql is not None}
 ORACLES["feature_imputed"] = _imputed_sql(5)
+ORACLES["feature_query_similarity"] = ORACLES["feature_query_similarity_split"] = _similar_sql()
 ORACLES["feature_linear_trend_pvalue"] = f"""WITH {S1}, l AS (SELECT id, {_line_sql("x", "pos")["slope"]} AS b, {_line_sql("x", "pos")["stderr"]} AS e, count(x) AS n FROM s GROUP BY id)
   SELECT id, {r(t_tail_sql("b / e", "(n - 2)"), PVALUE)} FROM l"""
 ORACLES["feature_fft_angles"] = (

@@ -200,3 +200,26 @@ def test_tails():
     assert tails.t_tail(2.0, 10) == pytest.approx(0.07338803477, rel=1e-6)
     assert tails.beta_inc(2, 3, 0.4) == pytest.approx(0.5248, rel=1e-9)
     assert tails.normal_cdf(1.959963985) == pytest.approx(0.975, abs=1e-9)
+
+
+@pytest.mark.parametrize("block", [None, 60])
+@pytest.mark.parametrize("normalize", [True, False])
+def test_query_similarity(spark, block, normalize):
+    from starloom.functions.similarity import distances, query_similarity
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=300) + 1e5, np.full(30, 1e5), rng.normal(size=100) + 1e5])
+    query = (x[40:48] + rng.normal(size=8) * 0.1).tolist()
+
+    def plain(w):
+        a, b = np.asarray(w), np.asarray(query)
+        if normalize:
+            a, b = ((v - v.mean()) / v.std() if v.std() > 0 else v * 0 for v in (a, b))
+        return np.sqrt(np.square(a - b).sum())
+
+    want = np.array([plain(x[i : i + 8]) for i in range(len(x) - 7)])
+    assert np.allclose(distances(x, np.array(query), normalize), want, atol=1e-5)
+    pdf = pd.DataFrame({"id": ["a"] * len(x) + ["b"] * 5, "time": np.arange(len(x) + 5.0), "flux": np.concatenate([x, x[:5]])})
+    limit = float(np.sort(want)[12:14].mean())
+    got = query_similarity(open_series(spark.createDataFrame(pdf), ["id"], ["time"], block), query, limit, normalize).toPandas().set_index("id").iloc[:, 0]
+    assert got["a"] == 13 and got["b"] == 0
