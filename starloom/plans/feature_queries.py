@@ -6,6 +6,7 @@ exactly between two rounded results and make the comparison a coin toss.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -525,3 +526,20 @@ for _name in ("changes", "autocorrelation", "mass", "strikes", "quantiles", "fft
     _key = f"feature_{_name}"
     QUERIES[f"{_key}_split"] = _split(_name, SPECS[_key][1])
     ORACLES[f"{_key}_split"] = ORACLES[_key]
+
+#: Twins of families over S1; the default set is their columns side by side.
+_SET = [ORACLES[key] for key, (_, _, sql, source, _) in SPECS.items() if sql is not None and source is s1]
+_SET += [ORACLES["feature_fft_angles"], ORACLES["feature_linear_trend_pvalue"]]
+_COLUMNS = [name for sql in _SET for name in re.findall(r'AS "(flux__[^"]+)"', sql)]
+_DIGITS = {name: int(digits) for sql in _SET for digits, name in re.findall(r', (\d+)\) \+ 0\.0 AS "(flux__[^"]+)"', sql)}
+
+
+def _comprehensive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature of the default set that a twin gives, from one extraction."""
+    found = extract(open_series(scaled_events(spark, sf_dir), ["id"], bindings.S1_ORDER), "comprehensive")
+    return found.select("id", *[(F.round(c, _DIGITS.get(c, 6)) + F.lit(0.0)).alias(c) for c in _COLUMNS])
+
+
+QUERIES["feature_set_comprehensive"] = _comprehensive
+_WHOLE = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _COLUMNS if c not in _DIGITS)  # counts and flags are numbers in a set
+ORACLES["feature_set_comprehensive"] = f"SELECT * REPLACE ({_WHOLE}) FROM ({_SET[0]})" + "".join(f" LEFT JOIN ({sql}) USING (id)" for sql in _SET[1:])
