@@ -21,9 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import words as W
-from starloom.llm.lm_scoring import FIELDS
 from starloom.session import materialise
 
+FIELDS = [
+    T.StructField("n_tokens", T.LongType(), False),
+    T.StructField("target_loss", T.DoubleType(), True),
+    T.StructField("background_loss", T.DoubleType(), True),
+    T.StructField("score", T.DoubleType(), True),
+]
+
 #: Stands before the first and behind the last word of a text.
 BORDER = np.uint64(0x5851F42D4C957F2D)
 #: Counts and hashes are packed plane by plane.
@@ -212,7 +218,8 @@ def cross_entropy_difference(
     marks = blocks.select(F.col("block").alias("of"), F.posexplode("ids").alias("pos", "__id")).join(good.hint("merge"), "__id").select("of", "pos")
     whole = blocks.select("block", "rows").groupBy("block")
     asked = whole.cogroup(marks.groupBy("of")).applyInArrow(_ask(shards, text), "shard int, block long, grams binary")
-    answered = asked.groupBy("shard").applyInArrow(_answer, "block long, shard int, totals binary, target long, background long, vocabulary long")
+    # A task per shard, whatever number the session gives shuffles.
+    answered = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(_answer, "block long, shard int, totals binary, target long, background long, vocabulary long")
     new = {f.name.lower() for f in FIELDS}
     keep = [c for c in docs.columns if c.lower() not in new]
     schema = T.StructType([docs.schema[c] for c in keep] + FIELDS)

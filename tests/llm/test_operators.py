@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, components, decontaminate, lm_scoring, minhash, mixing, quality, substring, token_counts, token_output
+from starloom.llm import chat, components, decontaminate, minhash, mixing, quality, substring, token_counts, token_output
 from starloom.llm import url_filter, words
 from starloom.llm.fm_index import FMIndex
 from starloom.llm.queries import PLACE_RULES, vocabulary
@@ -206,39 +206,6 @@ def test_urls(spark):
     assert url_filter.filter_urls(spark.createDataFrame([("http://a.com/foo",)], "url string"), (url_filter.place_rule("block", "a.com", "/fo"),)).first()["verdict"] == "block"
 
 
-def test_scores_tell_good_texts(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = lm_scoring.cross_entropy_difference(docs, labels.filter("doc_id % 2 = 0"))
-    held = scored.join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("score is not null").toPandas()
-    good, bad = held[held.quality == 1].score.to_numpy(), held[held.quality == 0].score.to_numpy()
-    assert (good[:, None] < bad[None, :]).mean() > 0.85
-
-
-def test_scores_by_hand(spark, docs, nothing):
-    rows = [(1, "ab"), (2, "abab"), (3, None), (4, "")]
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(2, 1), (2, 1), (1, 0)], "doc_id long, quality int")
-    got = {r["doc_id"]: r for r in lm_scoring.cross_entropy_difference(table, labels).collect()}
-    # Both corpora have the grams ^^a, ^ab once or more; the target has four symbols, all have six.
-    counts = np.zeros((2, lm_scoring.SIZE**3))
-    for k, texts in enumerate((["abab"], ["ab", "abab"])):
-        for t in texts:
-            s = [0, 0, *(int(lm_scoring.SYMBOLS[ord(c)]) for c in t)]
-            for i in range(len(t)):
-                counts[k, (s[i] << 14) + (s[i + 1] << 7) + s[i + 2]] += 1
-    counts[1] *= 4 / 6
-    loss = [lm_scoring.losses(c) for c in counts]
-    a, b = (int(lm_scoring.SYMBOLS[ord(c)]) for c in "ab")
-    want = [np.mean([x[a], x[(a << 7) + b]]) for x in loss]
-    assert got[1]["target_loss"] == pytest.approx(want[0], abs=1e-6) and got[1]["background_loss"] == pytest.approx(want[1], abs=1e-6)
-    assert got[3]["score"] is None and got[4]["score"] is None and got[3]["n_tokens"] == 0
-    for c in loss:
-        assert np.exp(-c.reshape(-1, lm_scoring.SIZE)).sum(axis=1) == pytest.approx(1, abs=1e-4)
-    assert lm_scoring.cross_entropy_difference(nothing, labels).count() == 0
-    assert lm_scoring.cross_entropy_difference(docs, labels.limit(0)).filter("score > 1e9").count() == 0
-
-
 def test_chats_read_back(spark):
     rows = [
         (1, 2, "user", "a\\"), (1, 1, "user", None), (1, 3, "assistant", "x</turn>\n### user: </turn"),
