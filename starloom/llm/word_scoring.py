@@ -40,7 +40,7 @@ PLANES = 8
 class Settings:
     """Bytes of text in a block, and those for which there is one shard; pseudo-counts of the two smoothings."""
 
-    block_bytes: int = 16 << 20
+    block_bytes: int = 8 << 20
     shard_bytes: int = 24 << 20
     word_prior: float = 0.1
     pair_prior: float = 200.0
@@ -141,6 +141,7 @@ def _ask(shards: int, text: str):
         for i, j in zip(cuts[:-1], cuts[1:]):
             packs.append(_pack(np.diff(keys[i:j], prepend=np.uint64(0)), target[i:j], counts[i:j]))
         number = block.column("block")[0].as_py()
+        W.give_back()
         return pa.table({"shard": pa.array(range(shards), pa.int32()), "block": pa.array([number] * shards, pa.int64()), "grams": pa.array(packs, pa.binary())})
 
     return ask
@@ -158,6 +159,7 @@ def _answer(shard: pa.Table) -> pa.Table:
     ends = np.cumsum(sizes)
     packs = [_pack(sums[0, where[i:j]], sums[1, where[i:j]]) for i, j in zip(ends - sizes, ends)]
     n = len(asked)
+    W.give_back()
     made = {k: pa.array([int(v)] * n, pa.int64()) for k, v in (("target", sums[0, words].sum()), ("background", sums[1, words].sum()), ("vocabulary", words.sum()))}
     return pa.table({"block": shard.column("block"), "shard": shard.column("shard"), "totals": pa.array(packs, pa.binary()), **made})
 
@@ -218,8 +220,7 @@ def cross_entropy_difference(
     marks = blocks.select(F.col("block").alias("of"), F.posexplode("ids").alias("pos", "__id")).join(good.hint("merge"), "__id").select("of", "pos")
     whole = blocks.select("block", "rows").groupBy("block")
     asked = whole.cogroup(marks.groupBy("of")).applyInArrow(_ask(shards, text), "shard int, block long, grams binary")
-    # A task per shard, whatever number the session gives shuffles.
-    answered = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(_answer, "block long, shard int, totals binary, target long, background long, vocabulary long")
+    answered = asked.groupBy("shard").applyInArrow(_answer, "block long, shard int, totals binary, target long, background long, vocabulary long")
     new = {f.name.lower() for f in FIELDS}
     keep = [c for c in docs.columns if c.lower() not in new]
     schema = T.StructType([docs.schema[c] for c in keep] + FIELDS)
