@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import first_by_key, last_by_key, lookup
-from starloom.operators.series import global_positions, open_series, running_totals
+from starloom.operators.series import BLOCK_ROWS, FEW_RANGES, _ranged, _ranges, global_positions, open_series, running_totals
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +105,15 @@ def test_plan_has_one_exchange(spark, sf_dir, capsys):
     plan = capsys.readouterr().out
     assert plan.count("hashpartitioning(") == 1
     assert "GreaterThan(l_extendedprice,0.0)" in plan and "l_quantity" not in plan
+
+
+def test_small_blocks_make_no_more_ranges_than_rows_fill(spark):
+    """Ranges follow the rows, not the blocks: tasks of some ten rows each do not end on large tables."""
+    assert [_ranges(n, 64) for n in (0, 64, 640, 6_000_000, 60_000_000)] == [1, 1, 10, FEW_RANGES, 240]
+    assert _ranges(10 * BLOCK_ROWS, BLOCK_ROWS) == 10
+    df = spark.range(4000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    ranged = _ranged(df, ("k",), ("t",), 10)
+    assert ranged.select("_part").distinct().count() <= FEW_RANGES
+    assert ranged.groupBy("k").agg(F.count_distinct("_part").alias("n")).agg(F.min("n")).first()[0] > 5
+    got = open_series(df, ["k"], ["t"], 10).located(3).rows()
+    assert got.filter("pos = t div 3").count() == 4000
