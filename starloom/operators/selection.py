@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,9 @@ from starloom.session import materialise
 METHODS = ("relevance", "mutual_info", "f_test", "random_forest", "all")
 MI_BINS = 10
 DEPTH = 30
+#: Rows times trees of which the driver holds the nodes at once, and how far the seeds of smaller forests lie apart.
+TREE_ROWS = 1_000_000
+SEED_STEP = 1_000_003
 
 
 def feature_names(df: DataFrame, id_column: str = "id", label_column: str = "label") -> list[str]:
@@ -261,18 +265,40 @@ def _binary_relevance(long: DataFrame, fdr_level: float, by: Column | None = Non
 # forest
 
 
-def forest_importance(df: DataFrame, names: list[str], trees: int = 100, seed: int = 42, depth: int = DEPTH) -> DataFrame:
-    """Importance by a forest of trees of at most ``depth`` levels; Spark grows up to 30."""
+def forest_importance(
+    df: DataFrame, names: list[str], trees: int = 100, seed: int = 42, depth: int = DEPTH, tree_rows: int = TREE_ROWS
+) -> DataFrame:
+    """Importance by a forest of trees of at most ``depth`` levels; Spark grows up to 30.
+
+    Spark grows a forest's nodes on the driver, about in proportion to rows
+    times trees. Above ``tree_rows`` of them the trees are grown in smaller
+    forests of seeds of their own, of which only the importances stay: trees
+    are independent, and the importance is the mean over the trees that split.
+    """
     vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(df)
     data = vectors.select(F.col("label").cast("double").alias("label"), "_v")
-    model = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth, featuresCol="_v", labelCol="label").fit(data)
-    scores = model.featureImportances.toArray()
+    at_once = max(1, min(trees, tree_rows // max(1, df.count())))
+    if at_once < trees:
+        data = materialise(data)
+    scores, split = np.zeros(len(names)), 0
+    for turn, first in enumerate(range(0, trees, at_once)):
+        forest = RandomForestClassifier(
+            numTrees=min(at_once, trees - first), seed=seed + SEED_STEP * turn, maxDepth=depth, featuresCol="_v", labelCol="label"
+        )
+        found, grown = _importances(forest.fit(data))
+        scores, split = scores + found * grown, split + grown
+    scores = scores / max(1, split)
     return df.sparkSession.createDataFrame(
         pd.DataFrame({"feature": names, "rf_importance": [float(v) for v in scores]}),
         "feature string, rf_importance double",
     )
 
 
+def _importances(model: RandomForestClassificationModel) -> tuple[np.ndarray, int]:
+    """Mean importances of a forest and the number of its trees with a split; the model is free afterwards."""
+    return model.featureImportances.toArray(), sum(tree.depth > 0 for tree in model.trees)
+
+
 def comparable(score: str) -> Column:
     """Scores that differ only by the order of summation compare equal: ten significant digits are kept."""
     value = F.col(score)

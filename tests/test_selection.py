@@ -190,3 +190,23 @@ def test_moments_of_classes(spark):
     for (name, label), r in got.items():
         part = pdf.loc[pdf.label == label, name].dropna()
         assert r["n"] == len(part) and r["m"] == pytest.approx(part.mean()) and r["v"] == pytest.approx(part.var(ddof=0), abs=1e-6)
+
+
+def test_forest_grows_in_parts_that_the_driver_can_hold(matrix, monkeypatch):
+    """All trees are grown, few at once; one part is the forest as it was."""
+    sizes, plain = [], selection.RandomForestClassifier
+
+    def recorded(**options):
+        sizes.append((options["numTrees"], options["seed"]))
+        return plain(**options)
+
+    monkeypatch.setattr(selection, "RandomForestClassifier", recorded)
+    names = selection.feature_names(matrix)
+    parts = selection.forest_importance(matrix, names, trees=25, depth=5, tree_rows=1000).toPandas()
+    assert [n for n, _ in sizes] == [10, 10, 5] and len({seed for _, seed in sizes}) == 3
+    assert parts.rf_importance.sum() == pytest.approx(1.0)
+    assert parts.rf_importance.idxmax() == parts.index[parts.feature == "flag"][0]
+    sizes.clear()
+    whole = selection.forest_importance(matrix, names, trees=25, depth=5).toPandas()
+    assert sizes == [(25, 42)]
+    assert np.abs(whole.rf_importance - parts.rf_importance).max() < 0.1
