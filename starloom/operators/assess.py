@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.joins import lookup
 from starloom.operators.series import Series, global_positions, open_series, running_totals
@@ -17,6 +20,8 @@ CONFIDENCE = {"asteroid": 0.85, "exoplanet": 0.90}
 RISK_THRESHOLD = 0.1
 RESIDUAL_LIMIT = 0.05
 SPLIT = (0.8, 0.1, 0.1)
+#: Samples folded at once.
+FOLD_ROWS = 4_096
 
 # Risk categories; the cut-points are parameters of ours.
 RISK_CATEGORIES = ("negligible", "low", "medium", "high", "critical")
@@ -200,51 +205,85 @@ def box_search(s: Series, periods: list[float], bins: int = 50, widths: tuple[in
     """Best box-shaped dip per id: period, depth, duration and epoch.
 
     Samples fold into phase bins per trial period; every later step sees only
-    bins. The score is that of Kovacs, Zucker and Mazeh (2002).
+    bins. The score is that of Kovacs, Zucker and Mazeh (2002). A series is
+    folded and searched in one task, a hot one is folded by the tasks that read
+    it. Samples without a finite time fold into no bin.
     """
-    grid = F.array(*[F.lit(float(p)) for p in periods])
     s = s.with_stats(_t0=F.min("time"), _mean=F.avg("flux"), _n=F.count(F.lit(1)))
-    rows = s.rows().select(
-        *s.keys, "_t0", "_n", (F.col("time") - F.col("_t0")).alias("t"), (F.col("flux") - F.col("_mean")).alias("y"),
-        F.explode(grid).alias("period"),
-    )
+    columns = [
+        *s.keys, "_t0", "_n", (F.col("time") - F.col("_t0")).alias("t"),
+        F.coalesce(F.col("flux") - F.col("_mean"), F.lit(0.0)).alias("y"),
+    ]
+    timed = F.abs("t") < F.lit(float("inf"))
+    fields = [T.StructField(name, T.DoubleType()) for name in ("period", "depth", "duration", "epoch", "score")]
+    schema = T.StructType([*[s.cold.schema[k] for k in s.keys], *fields])
+    keys, names, trials, spans = s.keys, schema.names, np.sort(np.asarray(periods, dtype=float)), sorted(widths)
+
+    def result(rows: pa.Table, sums: np.ndarray, counts: np.ndarray) -> pa.Table:
+        start, n = rows["_t0"][0].as_py(), rows["_n"][0].as_py()
+        best = best_box(trials, spans, sums, counts, n, start)
+        ids = [pa.array([rows[k][0].as_py()] * len(best), rows.schema.field(k).type) for k in keys]
+        return pa.table([*ids, *[pa.array([b[i] for b in best], pa.float64()) for i in range(5)]], names=names)
+
+    def whole(rows: pa.Table) -> pa.Table:
+        return result(rows, *fold(np.asarray(rows["t"]), np.asarray(rows["y"]), trials, bins))
+
+    def gathered(rows: pa.Table) -> pa.Table:
+        at = np.asarray(rows["trial"]), np.asarray(rows["bin"])
+        sums, counts = np.zeros((2, len(trials), bins))
+        sums[at], counts[at] = np.asarray(rows["sy"]), np.asarray(rows["c"])
+        return result(rows, sums, counts)
+
+    found = s.cold.select(*columns).filter(timed).groupBy(*s.keys).applyInArrow(whole, schema)
+    if s.hot is None:
+        return found
+    grid = F.array(*[F.lit(float(p)) for p in trials])
+    hot = s.hot.filter("_own") if "_own" in s.hot.columns else s.hot
+    rows = hot.select(*columns).filter(timed).select("*", F.posexplode(grid).alias("trial", "period"))
     phase = F.col("t") / F.col("period") - F.floor(F.col("t") / F.col("period"))
     cell = F.least(F.floor(phase * bins), F.lit(bins - 1)).cast("int")
-    folded = rows.groupBy(*s.keys, "period", cell.alias("bin")).agg(
-        F.sum("y").alias("sy"), F.count(F.lit(1)).alias("c"), F.max("_t0").alias("t0"), F.max("_n").alias("n")
-    )
-    # every bin adds to the boxes that cover it, around the phase circle
-    boxes = F.array(*[
-        F.struct(F.lit(w).alias("w"), F.lit(o).alias("o")) for w in widths for o in range(w)
-    ])
-    covered = folded.withColumn("b", F.explode(boxes)).select(
-        *s.keys, "period", "t0", "n", "sy", "c", "b.w", F.pmod(F.col("bin") - F.col("b.o"), F.lit(bins)).alias("start")
-    )
-    box = covered.groupBy(*s.keys, "period", "w", "start").agg(
-        F.sum("sy").alias("sy"), F.sum("c").alias("c"), F.max("t0").alias("t0"), F.max("n").alias("n")
-    )
-    share, mean = F.col("c") / F.col("n"), F.col("sy") / F.col("n")
-    score = F.try_divide(mean * mean, share * (F.lit(1.0) - share))
-    box = box.filter("sy < 0").withColumn("score", score).filter("score is not null")
-    best = box.groupBy(*s.keys).agg(
-        F.max_by(
-            F.struct("period", "w", "start", "sy", "c", "n", "t0"),
-            # equal boxes sum in different orders: compare rounded, then the first box
-            F.struct(F.round("score", 9), -F.col("period"), -F.col("w"), -F.col("start")),
-        ).alias("b"),
-        F.max("score").alias("score"),
-    )
-    inside = F.col("b.sy") / F.col("b.c")
-    outside = F.try_divide(-F.col("b.sy"), F.col("b.n") - F.col("b.c"))
-    duration = F.col("b.period") * F.col("b.w") / bins
-    return best.select(
-        *s.keys,
-        F.col("b.period").alias("period"),
-        (outside - inside).alias("depth"),
-        duration.alias("duration"),
-        (F.col("b.t0") + F.col("b.period") * F.col("b.start") / bins + duration / 2).alias("epoch"),
-        "score",
+    folded = rows.groupBy(*s.keys, "trial", cell.alias("bin")).agg(
+        F.sum("y").alias("sy"), F.count(F.lit(1)).alias("c"), F.max("_t0").alias("_t0"), F.max("_n").alias("_n")
     )
+    return found.unionByName(folded.groupBy(*s.keys).applyInArrow(gathered, schema))
+
+
+def fold(t: np.ndarray, y: np.ndarray, periods: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of values and numbers of samples per period and phase bin."""
+    size = len(periods) * bins
+    sums, counts = np.zeros((2, size))
+    for first in range(0, len(t), FOLD_ROWS):
+        turns = t[first : first + FOLD_ROWS, None] / periods
+        place = np.minimum(np.floor((turns - np.floor(turns)) * bins), bins - 1).astype(np.int64)
+        place = (place + np.arange(len(periods)) * bins).ravel()
+        sums += np.bincount(place, np.repeat(y[first : first + FOLD_ROWS], len(periods)), minlength=size)
+        counts += np.bincount(place, minlength=size)
+    return sums.reshape(-1, bins), counts.reshape(-1, bins)
+
+
+def best_box(
+    periods: np.ndarray, widths: list[int], sums: np.ndarray, counts: np.ndarray, n: int, start: float
+) -> list[tuple[float, float, float, float, float]]:
+    """Period, depth, duration, epoch and score of the best dip, or nothing; bins are rows per period, periods ascending."""
+    bins = sums.shape[1]
+    # every box starts at a bin and goes on around the phase circle
+    around = np.arange(bins + widths[-1] - 1) % bins
+    both = np.stack([sums, counts])[:, :, around]
+    sy, c = np.empty((2, len(periods), len(widths), bins))
+    for j, w in enumerate(widths):
+        sy[:, j], c[:, j] = sum(both[:, :, o : o + bins] for o in range(w))
+    share, mean = c / n, sy / n
+    room = share * (1.0 - share)
+    score = np.divide(mean * mean, room, out=np.full(sy.shape, -1.0), where=(sy < 0) & (room != 0))
+    top = float(score.max())
+    if top < 0:
+        return []
+    # equal boxes sum in different orders: compare rounded, then the first box
+    i, j, k = np.unravel_index(np.argmax(np.round(score, 9)), score.shape)
+    low, inside = float(sy[i, j, k]), float(c[i, j, k])
+    period, width = float(periods[i]), widths[j]
+    duration = period * width / bins
+    return [(period, -low / (n - inside) - low / inside, duration, start + period * float(k) / bins + duration / 2, top)]
 
 
 # screening
