@@ -138,7 +138,7 @@ def _fast(block_rows: int | None = None):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         s = open_series(bindings.event_series(spark, sf_dir).filter("flux > 0"), ["id"], bindings.S1_ORDER, block_rows)
-        return rounded(assess.periodogram_peaks(fast_periodogram(s, 0.01, 5000), ["id"], 3), 4)
+        return rounded(assess.periodogram_peaks(fast_periodogram(s, 0.01, 5000, strongest=3), ["id"], 3), 4)
 
     return query
 
