@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.catalog import file_stem
+from starloom.operators.series import _ranges as task_count
 
 # Flux columns by preference, each with its error column.
 FLUX_COLUMNS = (("PDCSAP_FLUX", "PDCSAP_FLUX_ERR"), ("SAP_FLUX", "SAP_FLUX_ERR"), ("flux", "flux_err"))
@@ -88,8 +89,11 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_series(rows: DataFrame, path: str, buckets: int = 64, rows_per_task: int = 5_000_000) -> None:
-    """Series rows by bucket of the id; a bucket is written by as many tasks as its share of the rows needs."""
-    spread = max(1, -(-rows.count() // (buckets * rows_per_task)))
+    """Series rows by bucket of the id; a bucket is written by as many tasks as its share of the rows needs.
+
+    Small ``rows_per_task`` make no more tasks than the rows of a large table can fill.
+    """
+    spread = max(1, -(-task_count(rows.count(), rows_per_task) // buckets))
     placed = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
     tasks = placed.repartition(buckets * spread, F.col("bucket"), F.pmod(F.xxhash64("time"), F.lit(spread)))
     tasks.sortWithinPartitions("bucket", "id", "time").write.partitionBy("bucket").parquet(path)

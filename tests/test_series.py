@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import first_by_key, last_by_key, lookup
+from starloom.operators import series
 from starloom.operators.series import BLOCK_ROWS, FEW_RANGES, _ranged, _ranges, global_positions, open_series, running_totals
+from starloom.sources.series import write_series
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +119,22 @@ def test_small_blocks_make_no_more_ranges_than_rows_fill(spark):
     assert ranged.groupBy("k").agg(F.count_distinct("_part").alias("n")).agg(F.min("n")).first()[0] > 5
     got = open_series(df, ["k"], ["t"], 10).located(3).rows()
     assert got.filter("pos = t div 3").count() == 4000
+
+
+def test_write_series_makes_no_more_tasks_than_rows_fill(spark, tmp_path):
+    """A small ``rows_per_task`` gives a file per task only until the rows of a table fill larger ones."""
+    df = spark.range(4000).select((F.col("id") % 50).alias("id"), F.col("id").cast("double").alias("time"))
+    write_series(df, str(tmp_path / "out"), buckets=4, rows_per_task=5)
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) <= FEW_RANGES
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4000
+
+
+def test_tasks_of_ordinary_keys_follow_the_rows(spark, monkeypatch, capsys):
+    """The rows of a large table are dealt once, to as many tasks as they fill, whatever the shuffle partitions."""
+    monkeypatch.setattr(series, "RANGE_ROWS", 50)
+    df = spark.range(4000).select((F.col("id") % 300).alias("k"), F.col("id").alias("t"))
+    s = open_series(df, ["k"], ["t"]).with_stats(n=F.count(F.lit(1))).with_quantiles("t", mid=0.5).located()
+    s.cold.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("hashpartitioning(") == 1 and ", 80)" in plan and s.cold.rdd.getNumPartitions() == 80
+    assert s.cold.filter("pos = t div 300 and n in (13, 14)").count() == 4000
