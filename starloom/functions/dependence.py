@@ -16,6 +16,8 @@ from starloom.operators.series import Series
 MAX_LAG = 40
 ACF_LAGS = 9
 AR_ORDER = 10
+#: Design rows of the unit-root test that are in memory at once.
+DESIGN_ROWS = 16_384
 
 
 def _acf(s: Series, max_lag: int) -> DataFrame:
@@ -174,9 +176,9 @@ def _max_lag(n: int) -> int:
 
 def _design(x: np.ndarray, start: int, stop: int, lag: int) -> np.ndarray:
     """Rows ``start <= t < stop`` of (1, level, lagged differences, difference)."""
-    d = np.diff(x)
-    t = np.arange(start, stop)
-    columns = [np.ones(len(t)), x[t], *[d[t - k] for k in range(1, lag + 1)], d[t]]
+    d = np.diff(x[start - lag : stop + 1])
+    t = np.arange(lag, lag + stop - start)
+    columns = [np.ones(len(t)), x[start:stop], *[d[t - k] for k in range(1, lag + 1)], d[t]]
     return np.column_stack(columns)
 
 
@@ -204,8 +206,9 @@ def unit_root(s: Series) -> DataFrame:
         width = lag + 3
         gram = np.zeros((width, width))
         if len(usable):
-            m = _design(x, usable[0], usable[-1] + 1, lag)
-            gram = m.T @ m
+            for first in range(usable[0], usable[-1] + 1, DESIGN_ROWS):
+                m = _design(x, first, min(first + DESIGN_ROWS, usable[-1] + 1), lag)
+                gram += m.T @ m
         values = gram.ravel()
         index = np.arange(len(values))
         if pos[0] == 0:  # the first samples, for fits that may start earlier
@@ -223,17 +226,17 @@ def unit_root(s: Series) -> DataFrame:
     parts = groups.groupBy("id", "_block").applyInPandas(products, f"id {id_type}, _n long, i long, v double")
     summed = parts.groupBy("id", "_n", "i").agg(F.sum("v").alias("v"))
     packed = summed.groupBy("id", "_n").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("p"))
+    # plain numbers in order of their index: structs would become an object each in Python
+    packed = packed.select("id", "_n", F.transform("p", lambda p: p["v"]).alias("p"))
 
     @F.pandas_udf("teststat double, pvalue double, usedlag double")
     def fit(n_rows: pd.Series, sums: pd.Series) -> pd.DataFrame:
         out = []
-        for n, pairs in zip(n_rows, sums):
+        for n, value in zip(n_rows, sums):
             lag = _max_lag(int(n))
             width = lag + 3
-            index = np.array([p["i"] for p in pairs])
-            value = np.array([p["v"] for p in pairs])
-            gram = value[index >= 0].reshape(width, width)
-            head = value[index < 0][::-1]
+            gram = value[-width * width :].reshape(width, width)
+            head = value[: -width * width][::-1]
             out.append(_dickey_fuller(gram, head, lag))
         return pd.DataFrame(out, columns=["teststat", "pvalue", "usedlag"])
 
