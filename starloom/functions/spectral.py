@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -121,6 +122,7 @@ def long_spectrum(rows: DataFrame, key: str) -> DataFrame:
     and each transform of length M is two rounds of about sqrt(M) short ones,
     grouped by residue and by low frequency (Bluestein; Bailey's four steps).
     """
+    slots = max(1, -(-8 * rows.count() // LINE_ROWS))  # a series has up to 4 n values of two channels
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     power = F.ceil(F.log2(2 * F.col("n") - 1)).cast("int")
     sizes = sizes.withColumn("p", power).selectExpr(
@@ -132,60 +134,67 @@ def long_spectrum(rows: DataFrame, key: str) -> DataFrame:
         return F.expr(f"pi() * ((cast({name} as decimal(38)) * {name}) % (2 * n)) / n").cast("double")
 
     a = base.withColumn("c", chirp("t")).selectExpr(
-        key, "n", "m1", "m2", "'a' as ch", "t", "flux * cos(c) as re", "-flux * sin(c) as im"
+        key, "n", "m1", "m2", "0 as ch", "t", "flux * cos(c) as re", "-flux * sin(c) as im"
     )
     b = base.withColumn("c", chirp("t")).selectExpr(
-        key, "n", "m1", "m2", "'b' as ch",
+        key, "n", "m1", "m2", "1 as ch",
         "explode(if(t = 0, array(t), array(t, m1 * m2 - t))) as t", "cos(c) as re", "sin(c) as im",
     )
-    both = _four_steps(a.unionByName(b), key)
-    left = both.filter("ch = 'a'").selectExpr(key, "n", "m1", "m2", "t", "re as ar", "im as ai")
-    right = both.filter("ch = 'b'").selectExpr(key, "t", "re as br", "im as bi")
+    both = _four_steps(a.unionByName(b), key, slots)
+    left = both.filter("ch = 0").selectExpr(key, "n", "m1", "m2", "t", "re as ar", "im as ai")
+    right = both.filter("ch = 1").selectExpr(key, "t", "re as br", "im as bi")
     product = left.join(right, [key, "t"]).selectExpr(
-        key, "n", "m1", "m2", "'c' as ch", "t", "ar * br - ai * bi as re", "-(ar * bi + ai * br) as im"
+        key, "n", "m1", "m2", "2 as ch", "t", "ar * br - ai * bi as re", "-(ar * bi + ai * br) as im"
     )
-    back = _four_steps(product, key).filter("t <= n div 2").withColumn("c", chirp("t"))
+    back = _four_steps(product, key, slots).filter("t <= n div 2").withColumn("c", chirp("t"))
     back = back.selectExpr(key, "t as k", "c", "re / (m1 * m2) as re", "-im / (m1 * m2) as im")
     return back.selectExpr(key, "k", "re * cos(c) + im * sin(c) as re", "im * cos(c) - re * sin(c) as im")
 
 
-def _four_steps(df: DataFrame, key: str) -> DataFrame:
-    """Transforms of length m1 * m2 per (key, ch); a task holds about ``LINE_ROWS`` values."""
+def _four_steps(df: DataFrame, key: str, slots: int) -> DataFrame:
+    """Transforms of length m1 * m2 per (key, ch); a task call holds about ``LINE_ROWS`` values.
+
+    A call has some lines of one long transform, or the whole short transforms
+    of the series in a slot, and does all lines of one length at once.
+    """
     kind = df.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, n long, m1 long, m2 long, ch string, a long, b long, re double, im double"
-
-    def lines(rows: pd.DataFrame, line: str, place: str, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Transform every line of the group; the line numbers and their spectra."""
-        numbers, index = np.unique(rows[line].to_numpy(), return_inverse=True)
-        dense = np.zeros((len(numbers), length), dtype=complex)
-        dense[index, rows[place].to_numpy()] = rows["re"].to_numpy() + 1j * rows["im"].to_numpy()
-        return numbers, np.fft.fft(dense, axis=1)
-
-    def emit(rows: pd.DataFrame, a: np.ndarray, b: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-        first = rows.iloc[0]
-        fixed = {c: first[c] for c in (key, "n", "m1", "m2", "ch")}
-        a, b = np.broadcast_arrays(a, b)
-        return pd.DataFrame(
-            {**fixed, "a": a.ravel(), "b": b.ravel(), "re": values.real.ravel(), "im": values.imag.ravel()}
-        )
+    schema = f"{key} {kind}, n long, m1 long, m2 long, ch int, a long, b long, re double, im double"
+    fixed = [key, "n", "m1", "m2", "ch"]
+
+    def lines(rows: pd.DataFrame, line: str, place: str, size: str) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+        """Per length a row for each line and their spectra."""
+        for length, part in rows.groupby(size, sort=False):
+            index = part.groupby([key, "ch", line], sort=False).ngroup().to_numpy()
+            first = np.unique(index, return_index=True)[1]
+            dense = np.zeros((len(first), length), dtype=complex)
+            dense[index, part[place].to_numpy()] = part["re"].to_numpy() + 1j * part["im"].to_numpy()
+            yield part.iloc[first][[*fixed, line]], np.fft.fft(dense, axis=1)
+
+    def emit(heads: pd.DataFrame, place: str, values: np.ndarray) -> pd.DataFrame:
+        """A row per line and frequency; ``place`` numbers the frequencies."""
+        count, length = values.shape
+        out = heads.iloc[np.repeat(np.arange(count), length)].reset_index(drop=True)
+        out[place], out["re"], out["im"] = np.tile(np.arange(length), count), values.real.ravel(), values.imag.ravel()
+        return out[[*fixed, "a", "b", "re", "im"]]
 
     def by_residue(rows: pd.DataFrame) -> pd.DataFrame:
-        m1, m2 = int(rows["m1"].iloc[0]), int(rows["m2"].iloc[0])
-        t2, values = lines(rows, "b", "a", m1)
-        turns = (np.arange(m1)[None, :] * t2[:, None]) % (m1 * m2)
-        return emit(rows, np.arange(m1)[None, :], t2[:, None], values * np.exp(-2j * np.pi * turns / (m1 * m2)))
+        out = []
+        for heads, values in lines(rows, "b", "a", "m1"):
+            whole = (heads["m1"] * heads["m2"]).to_numpy()[:, None]
+            turns = (np.arange(values.shape[1])[None, :] * heads["b"].to_numpy()[:, None]) % whole
+            out.append(emit(heads, "a", values * np.exp(-2j * np.pi * turns / whole)))
+        return pd.concat(out)
 
     def by_low_frequency(rows: pd.DataFrame) -> pd.DataFrame:
-        m2 = int(rows["m2"].iloc[0])
-        k1, values = lines(rows, "a", "b", m2)
-        return emit(rows, k1[:, None], np.arange(m2)[None, :], values)
+        return pd.concat([emit(heads, "b", values) for heads, values in lines(rows, "a", "b", "m2")])
 
     def bundle(line: str, length: str) -> Column:
-        return F.expr(f"{line} div greatest(1L, {LINE_ROWS}L div {length})").alias("g")
+        some = f"xxhash64({key}, ch, {line} div greatest(1L, {LINE_ROWS}L div {length}))"
+        return F.expr(f"if(m1 * m2 > {LINE_ROWS}L, {some}, pmod(xxhash64({key}), {slots}L))").alias("g")
 
     split = df.selectExpr(key, "n", "m1", "m2", "ch", "t div m2 as a", "t % m2 as b", "re", "im")
-    once = split.groupBy(key, "ch", bundle("b", "m1")).applyInPandas(by_residue, schema)
-    twice = once.groupBy(key, "ch", bundle("a", "m2")).applyInPandas(by_low_frequency, schema)
+    once = split.groupBy(bundle("b", "m1")).applyInPandas(by_residue, schema)
+    twice = once.groupBy(bundle("a", "m2")).applyInPandas(by_low_frequency, schema)
     return twice.selectExpr(key, "n", "m1", "m2", "ch", "a + m1 * b as t", "re", "im")
 
 

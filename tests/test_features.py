@@ -223,3 +223,32 @@ def test_query_similarity(spark, block, normalize):
     limit = float(np.sort(want)[12:14].mean())
     got = query_similarity(open_series(spark.createDataFrame(pdf), ["id"], ["time"], block), query, limit, normalize).toPandas().set_index("id").iloc[:, 0]
     assert got["a"] == 13 and got["b"] == 0
+
+
+def test_unit_root_in_parts_of_the_design(spark, monkeypatch):
+    """Few design rows at a time give the products of all of them."""
+    walk = np.cumsum(np.random.default_rng(11).normal(size=400))
+    pdf = pd.DataFrame({"id": np.arange(400) // 200, "time": np.arange(400.0), "flux": walk})
+    s = open_series(spark.createDataFrame(pdf), ["id"], ["time"]).located()
+    want = sorted(dependence.unit_root(s).collect())
+    monkeypatch.setattr(dependence, "DESIGN_ROWS", 7)
+    got = sorted(dependence.unit_root(s).collect())
+    assert len(got) == 2 and all(np.allclose(a, b, rtol=1e-9) for a, b in zip(got, want))
+    x = walk[:200] / 3
+    assert (dependence._design(x, 60, 70, 5)[:, 2] == np.diff(x)[59:69]).all()
+
+
+def test_long_transforms_share_calls(spark, monkeypatch):
+    """Series of many lengths through few calls of two rounds, and lines of one through several, against numpy."""
+    rng = np.random.default_rng(12)
+    sizes = [1, 2, 5, 33, 64, 150, 700]
+    pdf = pd.concat([pd.DataFrame({"id": f"s{n}", "pos": np.arange(n), "flux": rng.normal(size=n)}) for n in sizes])
+    df = spark.createDataFrame(pdf)
+    for rows in (512, spectral.LINE_ROWS):
+        monkeypatch.setattr(spectral, "LINE_ROWS", rows)
+        got = spectral.long_spectrum(df, "id").toPandas().sort_values(["id", "k"])
+        for n in sizes:
+            one, want = got[got["id"] == f"s{n}"], np.fft.fft(pdf["flux"][pdf["id"] == f"s{n}"])[: n // 2 + 1]
+            assert np.allclose(one["re"] + 1j * one["im"], want, atol=1e-9)
+    calls = spectral._four_steps(df.selectExpr("id", "1L as n", "16L as m1", "64L as m2", "0 as ch", "pos as t", "flux as re", "0D as im"), "id", 3)
+    assert calls.count() == len(sizes) * 1024
