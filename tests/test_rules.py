@@ -1,5 +1,6 @@
 """Rules that only bite on unusual rows, and what a session leaves behind."""
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Window
@@ -103,3 +104,24 @@ def test_a_fast_object_does_not_bring_slow_ones_together(spark):
     assert assess.approach_candidates(both, both, 0.1, 1.0).count() < 3 * 2001
     found = assess.closest_approach(both, both, 0.1, 1.0).filter("object_id = 9999").select("catalog_id").collect()
     assert {r[0] for r in found} == {i for i in range(2000) if i // 50 == 7}
+
+
+def test_crowded_cells_are_compared_in_many_tasks(spark):
+    """Crowded cells go as tiles through a shuffle, thin ones through a join that is not broadcast; both meet all pairs."""
+    rng = np.random.default_rng(5)
+    state = np.vstack([rng.normal(0, 0.2, (400, 6)), np.hstack([rng.uniform(5, 9, (200, 3)), rng.normal(0, 0.2, (200, 3))])])
+    columns = "id long, x double, y double, z double, vx double, vy double, vz double"
+    both = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(state)], columns)
+    found = assess.closest_approach(both, both, 0.2, 1.0, block_rows=50)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "strategy=merge" in plan
+    got = {(r[0], r[1]): (r[2], r[3]) for r in found.collect()}
+    wanted = {}
+    for i in range(len(state)):
+        d = state - state[i]
+        t = np.clip(-(d[:, :3] * d[:, 3:]).sum(1) / np.maximum((d[:, 3:] ** 2).sum(1), 1e-300), 0, 1)
+        miss = np.linalg.norm(d[:, :3] + d[:, 3:] * t[:, None], axis=1)
+        wanted.update({(i, int(j)): (t[j], miss[j]) for j in np.flatnonzero(miss <= 0.2) if j != i})
+    assert got.keys() == wanted.keys() and len(got) > 1000
+    assert np.allclose([got[k] for k in wanted], list(wanted.values()))
+    assert any(min(k) >= 400 for k in got)
