@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.names import feature
@@ -98,10 +98,10 @@ def _series_dir(spark: SparkSession, sf_dir: str) -> str:
 def _flat_dir(spark: SparkSession, sf_dir: str) -> str:
     """One file per supplier in one folder."""
     out = scratch_path(spark)
-    rows = bindings.lineitem_series(spark, sf_dir)
-    ids = rows.select("id").distinct().withColumn("place", F.row_number().over(Window.orderBy("id")) - 1)
-    placed = rows.join(F.broadcast(ids), "id").repartitionById(ids.count(), "place")
-    placed.select(F.col("time").alias("TIME"), F.col("flux").alias("SAP_FLUX")).write.parquet(out)
+    rows = bindings.lineitem_series(spark, sf_dir).select(
+        F.col("id").alias("PARTITION"), F.col("time").alias("TIME"), F.col("flux").alias("SAP_FLUX")
+    )
+    series.write_files(rows, out, "PARTITION")
     return out
 
 

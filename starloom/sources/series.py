@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.catalog import file_stem
+from starloom.operators.series import RANGE_ROWS
 from starloom.operators.series import _ranges as task_count
+from starloom.session import materialise
 
+#: Buckets of a folder with a file per series.
+FILE_BUCKETS = 10_000
 # Flux columns by preference, each with its error column.
 FLUX_COLUMNS = (("PDCSAP_FLUX", "PDCSAP_FLUX_ERR"), ("SAP_FLUX", "SAP_FLUX_ERR"), ("flux", "flux_err"))
 
@@ -99,6 +105,27 @@ def write_series(rows: DataFrame, path: str, buckets: int = 64, rows_per_task: i
     tasks.sortWithinPartitions("bucket", "id", "time").write.partitionBy("bucket").parquet(path)
 
 
+def write_files(rows: DataFrame, path: str, key: str = "id", buckets: int = FILE_BUCKETS) -> None:
+    """A file per key in one folder.
+
+    A task writes a file for each bucket that it has rows of, so it can write
+    many keys if no two of them share a bucket: those that do are numbered and
+    go to different tasks. Tasks follow the rows, not the keys.
+    """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.hash(key), F.lit(buckets))  # what bucketBy takes
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    keys = materialise(sizes.withColumn("_bucket", bucket).withColumn("_turn", numbered))
+    deepest, size = keys.agg(F.max("_turn"), F.sum("_n")).first()
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), deepest or 1, -(-(size or 0) // RANGE_ROWS))
+    task = F.pmod(F.col("_bucket") + F.col("_turn"), F.lit(tasks)).alias("_task")
+    placed = rows.join(keys.select(key, task), key).repartitionById(tasks, "_task").drop("_task")
+    name = f"starloom_{uuid.uuid4().hex}"
+    placed.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Quality metrics, one row per id, columns prefixed ``metrics_``."""
     metrics.select("id", *[F.col(c).alias(f"metrics_{c}") for c in metrics.columns if c != "id"]).write.parquet(path)

@@ -200,3 +200,16 @@ def test_approach_with_crowded_cells(spark):
     t = np.clip(-(d * w).sum(2) / np.maximum((w * w).sum(2), 1e-300), 0, 0.2)
     near = np.linalg.norm(d + w * t[..., None], axis=2) <= 0.05
     assert got == near.sum() - 300
+
+
+def test_a_file_per_key_needs_no_task_per_key(spark, tmp_path):
+    """300 keys in 40 buckets: each file holds one key, each key has one file, and a task writes many of them."""
+    rows = spark.range(900).selectExpr("id % 300 as key", "cast(id as double) as TIME", "cast(id div 300 as double) as SAP_FLUX")
+    tables = spark.catalog.listTables()
+    series.write_files(rows, str(tmp_path / "flat"), "key", buckets=40)
+    names = [p.name for p in (tmp_path / "flat").glob("*.parquet")]
+    assert len(names) == 300 and len({n.split("-")[1] for n in names}) < 60
+    found = spark.read.parquet(str(tmp_path / "flat")).groupBy(F.col("_metadata.file_name")).agg(F.count_distinct("key").alias("keys"), F.count("key").alias("n"))
+    assert {(r["keys"], r["n"]) for r in found.collect()} == {(1, 3)}
+    assert series.read_series(spark, str(tmp_path / "flat")).select("id").distinct().count() == 300
+    assert spark.catalog.listTables() == tables
