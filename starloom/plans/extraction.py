@@ -103,7 +103,8 @@ def _process(rows: DataFrame, output: str, labels: DataFrame | None, resume: boo
         left = not_yet_done(rows.select("id").distinct(), done, ["id"])
         if (known := existing(spark, failures)) is not None:
             left = not_yet_done(left, known, ["id"])
-        todo = lookup(rows, left, ["id"])
+        left = materialise(left)
+        todo = rows.filter(F.lit(False)) if left.isEmpty() else lookup(rows, left, ["id"])
     todo = materialise(todo)
     matrix = features_of(todo, **options)
     if labels is not None:
