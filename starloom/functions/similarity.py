@@ -3,18 +3,23 @@
 All products of the query with the windows of a block come from one fast
 transform; means and spreads of the windows from running sums. A block is a
 series, or a part of a hot one with the rows behind it that its windows need.
+Many short blocks share a call in Python.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.names import feature
 from starloom.operators.series import Series
 
+#: Rows of the series that a call in Python gets on average; a longer block is not cut.
+CALL_ROWS = 65_536
+
 
 def distances(x: np.ndarray, query: np.ndarray, normalize: bool = True) -> np.ndarray:
     """Euclidean distance of the query to every window of its length; normalised ones to mean 0 and deviation 1 each.
@@ -43,6 +48,34 @@ def distances(x: np.ndarray, query: np.ndarray, normalize: bool = True) -> np.nd
     return np.sqrt(np.maximum(2 * m * (1 - corr), 0.0))
 
 
+def close_windows(rows: pa.Table, query: np.ndarray, threshold: float, normalize: bool = True) -> pa.Table:
+    """Per block in ``rows`` its id and the number of windows from a row of its own that are close to the query."""
+    ids = pc.rank(rows["id"], tiebreaker="dense").to_numpy()
+    blocks, pos = rows["_block"].to_numpy(), rows["pos"].to_numpy()
+    order = np.lexsort((pos, blocks, ids))
+    ids, blocks = ids[order], blocks[order]
+    flux, own = rows["flux"].to_numpy()[order], rows["_own"].to_numpy()[order]
+    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (blocks[1:] != blocks[:-1])]))
+    counts = np.zeros(len(first), dtype="int64")
+    for i, (start, stop) in enumerate(zip(first, [*first[1:], len(order)])):
+        close = distances(flux[start:stop], query, normalize) <= threshold
+        counts[i] = (close & own[start : start + len(close)]).sum()
+    return pa.table([rows["id"].take(pa.array(order[first])), pa.array(counts)], names=["id", "c"])
+
+
+def _blocks(s: Series, reach: int) -> DataFrame:
+    """Rows of all blocks with the ``reach`` rows behind each, and the call that a block falls to."""
+    key, flux = F.col(s.keys[0]).alias("id"), F.col("flux").cast("double").alias("flux")
+    rows = s.cold.select(key, F.lit(0).cast("long").alias("_block"), "pos", flux, F.lit(True).alias("_own"))
+    if s.hot is not None:
+        # Copies in front of a block start no window of its own, and a block may have no other rows.
+        behind = F.col("pos") - (F.col("_block") + 1) * max(s.block, s.halo)
+        hot = s.hot.filter(F.col("_own") | behind.between(0, reach - 1))
+        rows = rows.unionByName(hot.select(key, F.col("_block").cast("long").alias("_block"), "pos", flux, "_own"))
+    calls = max(1, -(-s.size // CALL_ROWS))
+    return rows.withColumn("_call", F.pmod(F.xxhash64("id", "_block"), F.lit(calls)))
+
+
 def query_similarity(s: Series, query: list[float], threshold: float, normalize: bool = True) -> DataFrame:
     """Per id the number of windows no farther than ``threshold`` from the query; 0 for series shorter than it."""
     key, wanted = s.keys[0], np.asarray(query, dtype="float64")
@@ -50,16 +83,9 @@ def query_similarity(s: Series, query: list[float], threshold: float, normalize:
     kind = s.cold.schema[key].dataType.simpleString()
 
     def count(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("pos")
-        close = distances(np.asarray(rows["flux"], dtype="float64"), wanted, normalize) <= threshold
-        mine = np.asarray(rows["_own"])[: len(close)]
-        return pa.table([rows[key][:1], pa.array([int((close & mine).sum())], pa.int64())], names=[key, "c"])
+        return close_windows(rows, wanted, threshold, normalize)
 
     if "pos" not in s.cold.columns or s.halo < len(wanted) - 1:
         s = s.located(halo=len(wanted) - 1)
-    flux = F.col("flux").cast("double").alias("flux")
-    found = s.cold.select(key, "pos", flux, F.lit(True).alias("_own")).groupBy(key).applyInArrow(count, f"{key} {kind}, c long")
-    if s.hot is not None:
-        hot = s.hot.select(key, "_block", "pos", flux, "_own").groupBy(key, "_block")
-        found = found.unionByName(hot.applyInArrow(lambda rows: count(rows.drop_columns("_block")), f"{key} {kind}, c long"))
-    return found.groupBy(key).agg(F.sum("c").alias(name))
+    found = _blocks(s, len(wanted) - 1).groupBy("_call").applyInArrow(count, f"id {kind}, c long")
+    return found.groupBy(F.col("id").alias(key)).agg(F.sum("c").alias(name))

@@ -225,6 +225,25 @@ def test_query_similarity(spark, block, normalize):
     assert got["a"] == 13 and got["b"] == 0
 
 
+def test_short_series_share_a_call(spark):
+    """Many short blocks go to one call, without copies that their windows do not need, and keep their own counts."""
+    from starloom.functions import similarity
+
+    rng = np.random.default_rng(9)
+    ids = rng.permutation(np.repeat(np.arange(70), np.arange(1, 71)))
+    pdf = pd.DataFrame({"id": [f"s{i}" for i in ids], "time": np.arange(len(ids) * 1.0), "flux": rng.normal(size=len(ids))})
+    query, rows = [0.0, 1.0, 3.0, 1.0], spark.createDataFrame(pdf)
+    want = {i: int((similarity.distances(v.to_numpy(), np.array(query)) <= 1.5).sum()) for i, v in pdf.groupby("id")["flux"]}
+    for block in (None, 16):
+        s = open_series(rows, ["id"], ["time"], block).located(20)
+        dealt = similarity._blocks(s, 3).toPandas()
+        assert dealt["_call"].nunique() == 1 and dealt["_own"].sum() == len(ids)
+        blocks = dealt.groupby(["id", "_block"])["_own"].agg(["any", "size", "sum"])
+        assert blocks["any"].all() and (blocks["size"] - blocks["sum"]).max() <= 3
+        got = dict(similarity.query_similarity(s, query, 1.5).collect())
+        assert got == want and sum(got.values()) > 20
+
+
 def test_unit_root_in_parts_of_the_design(spark, monkeypatch):
     """Few design rows at a time give the products of all of them."""
     walk = np.cumsum(np.random.default_rng(11).normal(size=400))
