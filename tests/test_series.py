@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions import basic
 from starloom.operators.joins import first_by_key, last_by_key, lookup
 from starloom.operators import series
 from starloom.operators.series import BLOCK_ROWS, FEW_RANGES, _ranged, _ranges, global_positions, open_series, running_totals
@@ -121,6 +122,25 @@ def test_small_blocks_make_no_more_ranges_than_rows_fill(spark):
     assert got.filter("pos = t div 3").count() == 4000
 
 
+def test_task_results_of_split_changes_do_not_follow_the_blocks(spark):
+    """What tasks send back follows their number: ten times the rows in blocks of eight make hardly more tasks."""
+
+    def tasks(rows: int) -> int:
+        group, sc = f"changes of {rows}", spark.sparkContext
+        df = spark.range(rows).selectExpr("id div 20 as id", "id * 1.0D as time", "id % 7 * 1.0D as flux")
+        sc.setJobGroup(group, group)
+        try:
+            found = basic.changes(open_series(df, ["id"], ["time"], 8).located(2)).collect()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(found) == rows // 20
+        stages = {i for job in sc.statusTracker().getJobIdsForGroup(group) for i in sc.statusTracker().getJobInfo(job).stageIds}
+        return sum(sc.statusTracker().getStageInfo(i).numCompletedTasks for i in stages if sc.statusTracker().getStageInfo(i))
+
+    small, large = tasks(800), tasks(8000)
+    assert 0 < large < small + 3 * FEW_RANGES
+
+
 def test_write_series_makes_no_more_tasks_than_rows_fill(spark, tmp_path):
     """A small ``rows_per_task`` gives a file per task only until the rows of a table fill larger ones."""
     df = spark.range(4000).select((F.col("id") % 50).alias("id"), F.col("id").cast("double").alias("time"))
