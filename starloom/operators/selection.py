@@ -13,11 +13,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.tails import f_pvalue, z_pvalue
-from starloom.operators import columns
+from starloom.operators import columns, forest
 from starloom.operators.information import neighbour_information
 from starloom.operators.series import even_chunk, open_series, running_totals
 from starloom.session import materialise
@@ -28,6 +29,8 @@ DEPTH = 30
 #: Rows times trees of which the driver holds the nodes at once, and how far the seeds of smaller forests lie apart.
 TREE_ROWS = 1_000_000
 SEED_STEP = 1_000_003
+#: Rows up to which Spark ML grows the forest, and the classes that it infers at most.
+SPARK_ROWS, CLASSES = 10_000, 100
 
 
 def feature_names(df: DataFrame, id_column: str = "id", label_column: str = "label") -> list[str]:
@@ -266,32 +269,63 @@ def _binary_relevance(long: DataFrame, fdr_level: float, by: Column | None = Non
 
 
 def forest_importance(
-    df: DataFrame, names: list[str], trees: int = 100, seed: int = 42, depth: int = DEPTH, tree_rows: int = TREE_ROWS
+    df: DataFrame,
+    names: list[str],
+    trees: int = 100,
+    seed: int = 42,
+    depth: int = DEPTH,
+    tree_rows: int = TREE_ROWS,
+    spark_rows: int = SPARK_ROWS,
+    node_rows: int | None = None,
 ) -> DataFrame:
-    """Importance by a forest of trees of at most ``depth`` levels; Spark grows up to 30.
+    """Importance by a forest of trees of at most ``depth`` levels; at most 30.
 
     Spark grows a forest's nodes on the driver, about in proportion to rows
     times trees. Above ``tree_rows`` of them the trees are grown in smaller
     forests of seeds of their own, of which only the importances stay: trees
     are independent, and the importance is the mean over the trees that split.
+
+    Above ``spark_rows`` rows the same trees are grown by ``forest.importances``,
+    of other random draws: nodes of up to ``node_rows`` rows by a task each.
     """
     vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(df)
     data = vectors.select(F.col("label").cast("double").alias("label"), "_v")
-    at_once = max(1, min(trees, tree_rows // max(1, df.count())))
+    rows = df.count()
+    if rows > spark_rows:
+        scores = _grown_in_tasks(data, len(names), rows, trees, seed, depth, node_rows)
+    else:
+        scores = _grown_by_spark(data, len(names), max(1, min(trees, tree_rows // max(1, rows))), trees, seed, depth)
+    return df.sparkSession.createDataFrame(
+        pd.DataFrame({"feature": names, "rf_importance": [float(v) for v in scores]}),
+        "feature string, rf_importance double",
+    )
+
+
+def _grown_by_spark(data: DataFrame, width: int, at_once: int, trees: int, seed: int, depth: int) -> np.ndarray:
     if at_once < trees:
         data = materialise(data)
-    scores, split = np.zeros(len(names)), 0
+    scores, split = np.zeros(width), 0
     for turn, first in enumerate(range(0, trees, at_once)):
-        forest = RandomForestClassifier(
+        classifier = RandomForestClassifier(
             numTrees=min(at_once, trees - first), seed=seed + SEED_STEP * turn, maxDepth=depth, featuresCol="_v", labelCol="label"
         )
-        found, grown = _importances(forest.fit(data))
+        found, grown = _importances(classifier.fit(data))
         scores, split = scores + found * grown, split + grown
-    scores = scores / max(1, split)
-    return df.sparkSession.createDataFrame(
-        pd.DataFrame({"feature": names, "rf_importance": [float(v) for v in scores]}),
-        "feature string, rf_importance double",
-    )
+    return scores / max(1, split)
+
+
+def _grown_in_tasks(
+    data: DataFrame, width: int, rows: int, trees: int, seed: int, depth: int, node_rows: int | None
+) -> np.ndarray:
+    """What Spark's classifier refuses is refused here too; vectors with missing values are by their assembler."""
+    if not 0 <= depth <= DEPTH or trees < 1:
+        raise ValueError(f"a forest has at least one tree and 0 to {DEPTH} levels")
+    data = materialise(data.select("label", vector_to_array("_v").alias("x")))
+    whole = F.coalesce((F.col("label") >= 0) & (F.col("label") < CLASSES) & (F.col("label") == F.floor("label")), F.lit(False))
+    labels = data.agg(F.count_if(~whole).alias("wrong"), F.max("label").alias("top")).first()
+    if labels["wrong"]:
+        raise ValueError(f"labels of a forest are whole numbers from 0, fewer than {CLASSES}; {labels['wrong']} are not")
+    return forest.importances(data, width, int(labels["top"]) + 1, rows, trees, seed, depth, node_rows)
 
 
 def _importances(model: RandomForestClassificationModel) -> tuple[np.ndarray, int]:
