@@ -29,7 +29,7 @@ NODE_CELLS, BLOCK_CELLS, AT_ONCE = 1 << 24, 1 << 19, 1 << 21
 MARKS = 1_024
 #: Rows times trees of a task, and tasks at most.
 TASK_ROWS, TASKS = 1 << 19, 2_000
-#: Bytes of counts that a task holds before it sends them on.
+#: Bytes of blocks that a task reads about, and of counts that it holds before it sends them on.
 HELD = 1 << 26
 
 
@@ -277,7 +277,7 @@ def importances(
     node_rows = node_rows or max(1_000, NODE_CELLS // width)
     k = width if trees == 1 else math.ceil(math.sqrt(width))
     bins = materialise(blocks(rows, cuts(rows, width)))
-    tasks = max(1, min(TASKS, n * trees // TASK_ROWS))
+    tasks = max(1, min(TASKS, max(n * trees // TASK_ROWS, n * width // HELD)))
     bins = bins.repartition(tasks, "block")
 
     tops: dict[int, list] = {tree: [] for tree in range(trees)}

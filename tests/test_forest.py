@@ -25,18 +25,21 @@ def _scores(found):
     return found.toPandas().set_index("feature").rf_importance
 
 
-def test_large_tables_need_no_forest_on_the_driver(spark, monkeypatch):
-    """Above the limit Spark's forest, whose every node passes the driver, is not asked."""
+@pytest.fixture
+def large(spark, monkeypatch):
+    """A table above the limit, on which Spark's forest, whose every node passes the driver, is not asked."""
 
     def refused(**options):
         raise AssertionError("grown by Spark ML")
 
     monkeypatch.setattr(selection, "RandomForestClassifier", refused)
-    df, names = _table(spark, selection.TREE_ROWS // 100 + 100, 6)
+    return _table(spark, selection.TREE_ROWS // 100 + 100, 6)
+
+
+def test_large_tables_need_no_forest_on_the_driver(large):
+    df, names = large
     found = _scores(selection.forest_importance(df, names))
     assert found.sum() == pytest.approx(1.0) and found.idxmax() == "c0" and found["c5"] == 0.0
-    table = selection.select(df, "random_forest")
-    assert table.filter("selected").count() >= 4
 
 
 @pytest.mark.parametrize("classes", [2, 5])
@@ -129,3 +132,8 @@ def test_a_single_tree_may_split_by_all_features_and_none_gives_nothing(spark):
     assert found[0].tolist() == found[1].tolist() == [1.0, 0.0, 0.0, 0.0, 0.0]
     assert _scores(selection.forest_importance(df.withColumn("label", df.id * 0), names, trees=3, spark_rows=0)).sum() == 0
     assert _scores(selection.forest_importance(df, names, trees=3, depth=0, spark_rows=0)).sum() == 0
+
+
+def test_all_methods_meet_on_a_large_table(large):
+    chosen = selection.select(large[0], "all").filter("selected").toPandas().feature.tolist()
+    assert {"c0", "c1"} <= set(chosen) and "c5" not in chosen
