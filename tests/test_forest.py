@@ -137,3 +137,8 @@ def test_a_single_tree_may_split_by_all_features_and_none_gives_nothing(spark):
 def test_all_methods_meet_on_a_large_table(large):
     chosen = selection.select(large[0], "all").filter("selected").toPandas().feature.tolist()
     assert {"c0", "c1"} <= set(chosen) and "c5" not in chosen
+
+
+def test_a_large_table_is_ranked_with_its_forest(large):
+    ranked = selection.feature_importance(large[0], 3).toPandas()
+    assert ranked.feature.tolist()[:2] == ["c0", "c1"] and ranked.rf_importance_rank.tolist()[:2] == [1.0, 2.0]
