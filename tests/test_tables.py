@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +214,23 @@ def test_a_file_per_key_needs_no_task_per_key(spark, tmp_path):
     assert {(r["keys"], r["n"]) for r in found.collect()} == {(1, 3)}
     assert series.read_series(spark, str(tmp_path / "flat")).select("id").distinct().count() == 300
     assert spark.catalog.listTables() == tables
+
+
+def test_approach_copies_few_rows_and_sends_pairs_on(spark, monkeypatch):
+    """A row is copied for each large tile of the other side, not for each small one, and pairs leave a task in stretches."""
+    monkeypatch.setattr(assess, "TILES", 10)
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(np.hstack([rng.uniform(0.02, 0.08, (3000, 3)), np.zeros((3000, 3))]), columns=["x", "y", "z", "vx", "vy", "vz"])
+    pdf.insert(0, "id", [f"o{i}" for i in range(3000)])
+    both = spark.createDataFrame(pdf)
+    left, right, on, tasks = assess._tiled(both, both, 0.05, 1.0, 50)
+    assert left.count() == right.count() == 3000 and tasks == 1
+    state = pdf[assess.STATE[1:]].to_numpy().T
+    tile = [pa.array([pdf.id.tolist()], pa.list_(pa.string())), pa.array([state.tobytes()], pa.binary())]
+    sent = list(assess._meeting(0.05, 1.0)(iter([pa.RecordBatch.from_arrays(tile * 2, ["a_id", "a", "b_id", "b"])])))
+    assert len(sent) > 5 and max(b.num_rows for b in sent) <= assess.PAIRS_SENT + assess.PAIRS_AT_ONCE
+    d = state[:3].T[:, None] - state[:3].T[None]
+    near = np.linalg.norm(d, axis=2) <= 0.05
+    assert sum(b.num_rows for b in sent) == near.sum() > 1_000_000
+    found = assess.closest_approach(both, both, 0.05, 1.0, 50)
+    assert found.count() == near.sum() - 3000 and not found.filter("object_id = catalog_id").count()
