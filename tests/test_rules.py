@@ -11,6 +11,7 @@ from starloom.functions.registry import extract
 from starloom.functions import registry
 from starloom.operators import assess, cleaning, joins, selection
 from starloom.operators.series import open_series
+from starloom.plans.compare import rounded
 
 
 def long_series(spark, n=2500):
@@ -125,3 +126,17 @@ def test_crowded_cells_are_compared_in_many_tasks(spark):
     assert got.keys() == wanted.keys() and len(got) > 1000
     assert np.allclose([got[k] for k in wanted], list(wanted.values()))
     assert any(min(k) >= 400 for k in got)
+
+
+def test_rounding_of_many_rows_gives_the_same_numbers(spark):
+    """Bit for bit, with halves, values beside them, signs, large, small and missing ones."""
+    rng = np.random.default_rng(12)
+    halves = (rng.integers(-(10**7), 10**7, 20_000) + 0.5) / 1e6
+    values = np.concatenate([
+        halves, np.nextafter(halves, 9), np.nextafter(halves, -9), halves * (1 + 1e-10), rng.normal(0, 1, 20_000), rng.normal(0, 1e-6, 20_000), rng.normal(0, 1e8, 5_000),
+        rng.integers(-(10**12), 10**12, 5_000) / 1e6, [0.0, -0.0, np.nan, np.inf, -np.inf, 1e300, 5e-324, 99999.9999995, 4.999999999e-7],
+    ])
+    rows = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").coalesce(1)
+    for digits in (6, 4):
+        got, wanted = ([r["x"] for r in rounded(rows, digits, many).collect()] for many in (True, False))
+        assert got[-1] is None and np.array(got[:-1]).tobytes() == np.array(wanted[:-1]).tobytes()
